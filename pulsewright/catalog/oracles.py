@@ -506,9 +506,18 @@ def meals() -> dict[str, str]:
         ),
         "meal_describe": with_(base, rounded(stacked(summary % "measures", METRICS), spread)),
         "meal_describe_participants": with_(participants, rounded(stacked(summary % "per_person", METRICS), spread)),
-        "meal_by_time_range": with_(base, rounded(stacked(ranges, METRICS[1:]), ["mean", "median"])),
-        "meal_histogram": with_(base, rounded(stacked(bars, METRICS[:5]), ["bin_start", "bin_end"])),
-        "meal_box": with_(base, rounded(stacked(boxes, METRICS[1:]), box_cols)),
+        "meal_describe_by_time": with_(
+            base,
+            rounded(
+                stacked(
+                    (summary % "measures group by time_range").replace("as metric,", "as metric, time_range,"), METRICS
+                ),
+                spread,
+            ),
+        ),
+        "meal_by_time_range": with_(base, rounded(stacked(ranges, METRICS), ["mean", "median"])),
+        "meal_histogram": with_(base, rounded(stacked(bars, METRICS), ["bin_start", "bin_end"])),
+        "meal_box": with_(base, rounded(stacked(boxes, METRICS), box_cols)),
         "excursion_rate": with_(
             base,
             rounded(

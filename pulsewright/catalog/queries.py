@@ -437,15 +437,6 @@ def bpm_features_nodedupe(t: SensorTables) -> DataFrame:
 # --- meals -------------------------------------------------------------------
 
 
-def _stacked(parts: dict[str, DataFrame]) -> DataFrame:
-    """Statistics of several measures with the measure's name in front."""
-    out = None
-    for name, df in parts.items():
-        df = df.select(F.lit(name).alias("metric"), "*")
-        out = df if out is None else out.unionByName(df)
-    return out
-
-
 @query
 def meal_means(t: SensorTables) -> DataFrame:
     return meals.meal_means(t.meal_events)
@@ -458,32 +449,37 @@ def meal_means_by_time(t: SensorTables) -> DataFrame:
 
 @query
 def meal_describe(t: SensorTables) -> DataFrame:
-    return _stacked({m: meals.meal_stats(t.meal_events, m) for m in meals.METRICS})
+    return meals.meal_stats(t.meal_events)
 
 
 @query
 def meal_describe_participants(t: SensorTables) -> DataFrame:
-    return _stacked({m: meals.meal_stats(t.meal_events, m, per="participant") for m in meals.METRICS})
+    return meals.meal_stats(t.meal_events, per="participant")
+
+
+@query
+def meal_describe_by_time(t: SensorTables) -> DataFrame:
+    return meals.meal_stats(t.meal_events, by_time=True)
 
 
 @query
 def meal_by_time_range(t: SensorTables) -> DataFrame:
-    return _stacked({m: meals.by_time_range(t.meal_events, m) for m in meals.METRICS if m != "start_to_normal"})
+    return meals.by_time_range(t.meal_events)
 
 
 @query
 def meal_histogram(t: SensorTables) -> DataFrame:
-    return _stacked({m: meals.meal_histogram(t.meal_events, m) for m in meals.METRICS[:5]})
+    return meals.meal_histogram(t.meal_events)
 
 
 @query
 def meal_box(t: SensorTables) -> DataFrame:
-    return _stacked({m: meals.meal_box(t.meal_events, m) for m in meals.METRICS[1:]})
+    return meals.meal_box(t.meal_events)
 
 
 @query
 def excursion_rate(t: SensorTables) -> DataFrame:
-    return meals.by_time_range(t.meal_events, "excursion_rate")
+    return meals.by_time_range(t.meal_events, "excursion_rate").drop("metric")
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,47 +77,44 @@ def exact_variance_pop(n: Column, total: Column, squares: Column) -> Column:
 
 # --- mergeable moments -------------------------------------------------------
 #
-# A variable ``v`` is carried as its mean ``v_mean`` and centred sum of squares
-# ``v_m2`` next to a shared count ``n``. Small groups merge into larger ones
-# without going back to the readings.
+# A variable ``v`` is carried as its sum ``v_sum`` and centred sum of squares
+# ``v_m2`` next to a count column, which several variables may share. Small
+# groups merge into larger ones without going back to the readings.
 
 
-def moments(values: dict[str, Column]) -> list[Column]:
-    """Aggregates that open the moments of several variables."""
-    out = []
-    for name, value in values.items():
-        out.append(F.avg(value).alias(f"{name}_mean"))
-        out.append((F.var_pop(value) * F.count(value)).alias(f"{name}_m2"))
-    return out
+def moments(name: str, value: Column) -> list[Column]:
+    """Aggregates that open the moments of a variable."""
+    return [F.sum(value).alias(f"{name}_sum"), (F.var_pop(value) * F.count(value)).alias(f"{name}_m2")]
 
 
-def centre_moments(df: DataFrame, keys: list[str], names: Iterable[str]) -> DataFrame:
+def centre_moments(df: DataFrame, keys: list[str], counts: Mapping[str, str]) -> DataFrame:
     """Recentre moments on the mean of the larger group each row belongs to.
 
-    Adds ``v_centre`` and turns ``v_m2`` into the row's share of the group's
-    sum of squares; the shares then simply add up. The window spans already
-    reduced rows, whose number per key is bounded by the caller's keys (slices
-    and bins per day), never raw readings.
+    ``counts`` names each variable's count column. Adds ``v_centre`` and turns
+    ``v_m2`` into the row's share of the group's sum of squares; the shares
+    then simply add up. The window spans already reduced rows, whose number per
+    key is bounded by the caller's keys (hours and bins), never raw readings.
     """
     group = Window.partitionBy(*keys)
-    size = F.nullif(F.sum("n").over(group), F.lit(0)).cast("double")
-    df = df.withColumns(
-        {f"{v}_centre": F.sum(F.col("n") * F.col(f"{v}_mean")).over(group) / size for v in names}
+    some = lambda c: F.nullif(c, F.lit(0)).cast("double")
+    size = {c: some(F.sum(c).over(group)) for c in set(counts.values())}
+    df = df.withColumns({f"{v}_centre": F.sum(f"{v}_sum").over(group) / size[c] for v, c in counts.items()})
+    gap = lambda v, c: F.col(f"{v}_sum") / some(F.col(c)) - F.col(f"{v}_centre")
+    return df.withColumns(
+        {f"{v}_m2": F.col(f"{v}_m2") + F.col(c) * gap(v, c) * gap(v, c) for v, c in counts.items()}
     )
-    gap = lambda v: F.col(f"{v}_mean") - F.col(f"{v}_centre")
-    return df.withColumns({f"{v}_m2": F.col(f"{v}_m2") + F.col("n") * gap(v) * gap(v) for v in names})
 
 
-def merged_moments(names: Iterable[str]) -> list[Column]:
+def merged_moments(counts: Mapping[str, str]) -> list[Column]:
     """Aggregates over recentred rows; can be applied level by level."""
-    out = [F.sum("n").alias("n")]
-    for v in names:
+    out = [F.sum(c).alias(c) for c in sorted(set(counts.values()))]
+    for v in counts:
         out.append(F.first(f"{v}_centre", ignorenulls=True).alias(f"{v}_centre"))
         out.append(F.sum(f"{v}_m2").alias(f"{v}_m2"))
     return out
 
 
-def sample_sd(name: str) -> Column:
+def sample_sd(name: str, count: str) -> Column:
     """Sample standard deviation of merged moments; null below two values."""
-    n = F.col("n")
+    n = F.col(count)
     return F.when(n > 1, F.sqrt(F.col(f"{name}_m2") / (n - 1).cast("double")))

@@ -28,19 +28,23 @@ def describe_col(df: DataFrame, col: str, by: Sequence[str] = (), few_groups: bo
     return summary.join(median, keys, "left").drop(ALL)
 
 
-def histogram(df: DataFrame, col: str, bins: int = 150) -> DataFrame:
+def histogram(
+    df: DataFrame, col: str, bins: int = 150, by: Sequence[str] = (), few_groups: bool = False
+) -> DataFrame:
     """Equal-width histogram over [min, max]; the last bin includes its end.
 
     Every bin is listed, empty ones with zero. A value on an inner edge belongs
-    to the bin above it.
+    to the bin above it. A single value gets a range of one around it.
     """
-    values, _ = keyed_values(df, col, ())
-    span = values.agg(F.min(VALUE).alias("lo"), F.max(VALUE).alias("hi")).select(
-        F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+    values, keys = keyed_values(df, col, by)
+    flat = F.col("_min") == F.col("_max")
+    low, high = F.when(flat, F.col("_min") - 0.5), F.when(flat, F.col("_max") + 0.5)
+    span = (
+        values.groupBy(*keys)
+        .agg(F.min(VALUE).alias("_min"), F.max(VALUE).alias("_max"))
+        .select(*keys, F.coalesce(low, "_min").alias("_lo"), F.coalesce(high, "_max").alias("_hi"))
+        .select(*keys, "_lo", ((F.col("_hi") - F.col("_lo")) / F.lit(float(bins))).alias("_step"))
     )
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
-    edges = lambda d: d.withColumns({"_lo": lo, "_step": (hi - lo) / F.lit(float(bins))})
     edge = lambda i: F.col("_lo") + i * F.col("_step")
     guess = F.least(F.floor((F.col(VALUE) - F.col("_lo")) / F.col("_step")), F.lit(bins - 1))
     g = F.col("_guess")
@@ -49,13 +53,23 @@ def histogram(df: DataFrame, col: str, bins: int = 150) -> DataFrame:
         .when((g < bins - 1) & (F.col(VALUE) >= edge(g + 1)), g + 1)
         .otherwise(g)
     )
-    counts = edges(values).withColumn("_guess", guess).groupBy(exact.alias("bin")).agg(F.count(VALUE).alias("c"))
-    listed = edges(df.sparkSession.range(bins).withColumnRenamed("id", "bin"))
-    return listed.join(counts, "bin", "left").select(
-        "bin",
-        edge(F.col("bin")).alias("bin_start"),
-        edge(F.col("bin") + 1).alias("bin_end"),
-        F.coalesce("c", F.lit(0)).alias("frequency"),
+    counts = (
+        attach(values, span, keys, few_groups or not by)
+        .withColumn("_guess", guess)
+        .groupBy(*keys, exact.alias("bin"))
+        .agg(F.count(VALUE).alias("_c"))
+    )
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long")))
+    return (
+        span.withColumn("bin", every)
+        .join(counts, [*keys, "bin"], "left")
+        .select(
+            *[k for k in keys if k != ALL],
+            "bin",
+            edge(F.col("bin")).alias("bin_start"),
+            edge(F.col("bin") + 1).alias("bin_end"),
+            F.coalesce("_c", F.lit(0)).alias("frequency"),
+        )
     )
 
 

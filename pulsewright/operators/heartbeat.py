@@ -66,28 +66,65 @@ def _with_previous(hr: DataFrame, min_bpm: int) -> DataFrame:
     )
 
 
-def _own_copy(copies: Column, bpm: Column, prev: Column) -> Column:
-    """Predecessors of the distinct rows that a folded reading stands for.
+def _repeats(copies: Column, bpm: Column, prev: Column) -> Column:
+    """Whether a folded reading stands for two distinct rows.
 
     The first copy follows the earlier reading, all others follow a copy of
     themselves; equal rows merge.
     """
-    repeats = (copies > 1) & ~prev.eqNullSafe(bpm)
-    return F.when(repeats, F.array(prev, bpm)).otherwise(F.array(prev))
+    return (copies > 1) & ~prev.eqNullSafe(bpm)
+
+
+SLICE_STATISTICS = ("slice_interval", "slice_rmssd", "slice_sdrr")
+
+
+def _with_slice_statistics(paired: DataFrame) -> DataFrame:
+    """Mean interval, RMSSD and interval SD of each slice's distinct rows.
+
+    The rows are already placed and sorted by slice here, so these windows
+    need neither a shuffle nor a sort. A slice has few rows. The SD is summed
+    around a value of the slice itself: a constant slice gives exactly zero.
+    """
+    bpm, prev = F.col("bpm"), F.col("prev_bpm")
+    again = _repeats(F.col("copies"), bpm, prev).cast("int")
+    rows, pairs = again + 1, again + prev.isNotNull().cast("int")
+    rr, step = beat_interval(bpm), beat_interval(bpm) - beat_interval(prev)
+    off = rr - beat_interval(F.col("slice_last_bpm"))
+    total = lambda c: F.sum(c).over(Window.partitionBy(PIM, "slice"))
+    n = F.nullif(total(pairs), F.lit(0)).cast("double")
+    shift = total(pairs * off)
+    spread = F.greatest(total(pairs * off * off) - shift * shift / n, F.lit(0.0))
+    return paired.withColumns(
+        {
+            "slice_interval": total(rows * rr) / total(rows),
+            "slice_rmssd": F.sqrt(total(step * step) / n),
+            "slice_sdrr": F.when(n > 1, F.sqrt(spread / (n - 1))),
+        }
+    )
 
 
 def consecutive_readings(hr: DataFrame, min_bpm: int = 40) -> DataFrame:
     """Distinct (reading, previous reading) rows with the day's mean interval.
 
     Predecessors are taken over all stored rows, then equal rows are merged.
-    Columns: pim_id, date, slice (epoch seconds), time, bpm, prev_bpm, avg_rr.
-    The first reading of a day has no ``prev_bpm``. Readings at one instant
-    follow in order of bpm.
+    Columns: pim_id, date, slice (epoch seconds), time, bpm, prev_bpm, avg_rr,
+    and SLICE_STATISTICS on one row of each slice. The first reading of a day
+    has no ``prev_bpm``. Readings at one instant follow in order of bpm.
     """
-    paired = _with_previous(hr, min_bpm)
-    return paired.withColumn(
-        "prev_bpm", F.explode(_own_copy(F.col("copies"), F.col("bpm"), F.col("prev_bpm")))
-    ).select(PIM, "date", "slice", TS, "bpm", "prev_bpm", "avg_rr")
+    paired = _with_slice_statistics(_with_previous(hr, min_bpm))
+    bpm, prev = F.col("bpm"), F.col("prev_bpm")
+    previous = F.when(_repeats(F.col("copies"), bpm, prev), F.array(prev, bpm)).otherwise(F.array(prev))
+    leads = F.col("prev_in_slice").isNull() & (F.col("version") == 0)
+    return paired.select("*", F.posexplode(previous).alias("version", "previous")).select(
+        PIM,
+        "date",
+        "slice",
+        TS,
+        "bpm",
+        F.col("previous").alias("prev_bpm"),
+        "avg_rr",
+        *[F.when(leads, F.col(c)).alias(c) for c in SLICE_STATISTICS],
+    )
 
 
 def weighted_readings(hr: DataFrame, min_bpm: int = 40) -> DataFrame:

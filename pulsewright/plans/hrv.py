@@ -1,10 +1,10 @@
 """Heart-rate-variability features per day and per 1/3/6/12/24-hour bucket.
 
-Flow: readings -> (one pass) moments per slice and histogram bin -> everything
+Flow: readings -> (one pass) moments per hour and histogram bin -> everything
 else. The moments table has a bounded number of rows per participant and day
-(288 slices times a few dozen bins), is placed once by (participant, day), and
-feeds bucket statistics, five-minute statistics and histograms without another
-shuffle of readings.
+(24 hours times a few dozen bins), is placed once by (participant, day), and
+yields statistics and histograms of every bucket width without another shuffle
+of readings.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsewright.functions.rundates import RunDates
@@ -28,7 +28,7 @@ from pulsewright.functions.stats import (
     sample_sd,
 )
 from pulsewright.functions.timeops import bucket_seconds, from_epoch
-from pulsewright.operators.heartbeat import PIM, SLICE_SECONDS, TS, consecutive_readings, weighted_readings
+from pulsewright.operators.heartbeat import PIM, TS, consecutive_readings, weighted_readings
 from pulsewright.operators.relational import union_all
 from pulsewright.operators.triangle import (
     add_side_sums,
@@ -41,7 +41,10 @@ from pulsewright.operators.triangle import (
 
 DAY_HOURS = 24
 BUCKET = [PIM, "date", "seconds", "start"]
-VARIABLES = ("bpm", "rr", "sd1", "sd2")
+
+# Variables carried as moments, with the column that counts their values.
+PAIR_VARIABLES = ("bpm", "rr", "sd1", "sd2")
+COUNTS = {**dict.fromkeys(PAIR_VARIABLES, "n"), "slice": "slices"}
 
 # Statistics of one bucket, in output order.
 SHAPE_COLUMNS = (
@@ -61,34 +64,34 @@ BUCKET_COLUMNS = ("record_count", "bpm_mean", "bpm_stddev", "bpm_min", "bpm_max"
 Day = str | date | None
 
 
-def slice_moments(readings: DataFrame) -> DataFrame:
-    """Moments per (participant, slice, histogram bin).
+def interval_moments(readings: DataFrame, grain: int = 3600) -> DataFrame:
+    """Moments per (participant, ``grain`` seconds, histogram bin).
 
     Readings without a predecessor count in the histogram and in the slice's
-    mean interval only; all other statistics use pairs.
+    mean interval only; all other statistics use pairs. Slices lie inside the
+    grain, so their values are averaged and spread here as well.
     """
     bpm, prev = F.col("bpm"), F.col("prev_bpm")
+    rr, step = beat_interval(bpm), beat_interval(bpm) - beat_interval(prev)
     paired = lambda c: F.when(prev.isNotNull(), c)
-    step = beat_interval(bpm) - beat_interval(prev)
-    values = {
-        "bpm": paired(bpm).cast("double"),
-        "rr": paired(beat_interval(bpm)),
-        "sd1": poincare_minor(bpm, prev),
-        "sd2": poincare_major(bpm, prev, F.col("avg_rr")),
-    }
+    rows = readings.withColumns({"bin": interval_bin(bpm), "part": bucket_seconds(F.col("slice"), grain)})
     return (
-        readings.withColumn("bin", interval_bin(bpm))
-        .groupBy(PIM, "slice", "bin")
+        rows.groupBy(PIM, "date", "part", "bin")
         .agg(
             F.count(F.lit(1)).alias("frequency"),
-            F.sum(beat_interval(bpm)).alias("rr_total"),
             F.count(prev).alias("n"),
             F.min(paired(bpm)).alias("bpm_min"),
             F.max(paired(bpm)).alias("bpm_max"),
             F.sum(step * step).alias("step_squares"),
-            *moments(values),
+            *moments("bpm", paired(bpm).cast("double")),
+            *moments("rr", paired(rr)),
+            *moments("sd1", poincare_minor(bpm, prev)),
+            *moments("sd2", poincare_major(bpm, prev, F.col("avg_rr"))),
+            F.count("slice_interval").alias("slices"),
+            *moments("slice", F.col("slice_interval")),
+            *[F.sum(f"slice_{s}").alias(f"{s}_sum") for s in ("rmssd", "sdrr")],
+            *[F.count(f"slice_{s}").alias(f"{s}_count") for s in ("rmssd", "sdrr")],
         )
-        .withColumn("date", F.to_date(from_epoch(F.col("slice"))))
         .repartition(PIM, "date")
     )
 
@@ -101,70 +104,49 @@ def _at_widths(rows: DataFrame, seconds: Sequence[int], at: str) -> DataFrame:
     )
 
 
-def _with_slice_means(base: DataFrame) -> DataFrame:
-    """Put the slice's mean interval on one of the slice's bins."""
-    in_slice = Window.partitionBy(PIM, "date", "slice")
-    mean = F.sum("rr_total").over(in_slice) / F.sum("frequency").over(in_slice)
-    return base.withColumn(
-        "slice_mean", F.when(F.col("bin") == F.min("bin").over(in_slice), mean)
-    )
+ADDED = ("step_squares", "rmssd_sum", "rmssd_count", "sdrr_sum", "sdrr_count")
 
 
 def _bucket_features(base: DataFrame, seconds: Sequence[int]) -> DataFrame:
-    """One row per bucket: BUCKET, BUCKET_COLUMNS and ``modes``.
+    """One row per bucket: BUCKET, BUCKET_COLUMNS, ``modes``, five-minute means.
 
     The moments table is already placed by (participant, day), which covers
-    every key used here: buckets, their bins and the slices. So nothing below
-    shuffles again.
+    every key used here: buckets and their bins. So nothing below shuffles
+    again.
     """
-    rows = centre_moments(_at_widths(_with_slice_means(base), seconds, "slice"), BUCKET, VARIABLES)
-    slice_centre = F.avg("slice_mean").over(Window.partitionBy(*BUCKET))
-    off = F.col("slice_mean") - F.col("slice_centre")
     carried = [
         F.min("bpm_min").alias("bpm_min"),
         F.max("bpm_max").alias("bpm_max"),
-        F.sum("step_squares").alias("step_squares"),
-        F.sum("frequency").alias("frequency"),
+        *[F.sum(c).alias(c) for c in ADDED],
+        *merged_moments(COUNTS),
     ]
     bins = (
-        rows.withColumn("slice_centre", slice_centre)
+        centre_moments(_at_widths(base, seconds, "part"), BUCKET, COUNTS)
         .groupBy(*BUCKET, "bin")
-        .agg(
-            *merged_moments(VARIABLES),
-            *carried,
-            F.count("slice_mean").alias("slices"),
-            F.sum(off * off).alias("slice_m2"),
-        )
-    )
-    buckets = (
-        add_side_sums(bins, BUCKET)
-        .groupBy(*BUCKET)
-        .agg(
-            *merged_moments(VARIABLES),
-            *carried[:3],
-            F.sum("slices").alias("slices"),
-            F.sum("slice_m2").alias("slice_m2"),
-            *pooled_sides(),
-        )
+        .agg(F.sum("frequency").alias("frequency"), *carried)
     )
+    buckets = add_side_sums(bins, BUCKET).groupBy(*BUCKET).agg(*pooled_sides(), *carried)
     ms, n = F.lit(MS_PER_MINUTE), F.col("n")
-    slices = F.col("slices")
     return buckets.filter(n > 0).select(
         *BUCKET,
         n.alias("record_count"),
         F.col("bpm_centre").alias("bpm_mean"),
-        sample_sd("bpm").alias("bpm_stddev"),
+        sample_sd("bpm", "n").alias("bpm_stddev"),
         "bpm_min",
         "bpm_max",
         F.col("rr_centre").alias("beat_interval_ms_mean"),
-        sample_sd("rr").alias("beat_interval_ms_stddev"),
+        sample_sd("rr", "n").alias("beat_interval_ms_stddev"),
         (ms / F.col("bpm_max")).alias("beat_interval_ms_min"),
         (ms / F.col("bpm_min")).alias("beat_interval_ms_max"),
         F.sqrt(F.col("step_squares") / n).alias("beat_interval_ms_rmssd"),
-        sample_sd("sd1").alias("geom_poincare_sd1"),
-        sample_sd("sd2").alias("geom_poincare_sd2"),
+        sample_sd("sd1", "n").alias("geom_poincare_sd1"),
+        sample_sd("sd2", "n").alias("geom_poincare_sd2"),
         *triangle_columns(),
-        F.when(slices > 1, F.sqrt(F.col("slice_m2") / (slices - 1).cast("double"))).alias("sdann"),
+        sample_sd("slice", "slices").alias("sdann"),
+        *[
+            (F.col(f"{s}_sum") / F.nullif(F.col(f"{s}_count"), F.lit(0))).alias(f"mean_{s}")
+            for s in ("rmssd", "sdrr")
+        ],
     )
 
 
@@ -216,8 +198,8 @@ def sdann(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40) -> DataFrame:
 
 def poincare_features(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40) -> DataFrame:
     """Rate, interval and Poincare statistics per bucket."""
-    features = _bucket_features(slice_moments(consecutive_readings(hr, min_bpm)), _seconds(hours))
-    return features.drop("tinn", "rrtri", "modes", "sdann")
+    features = _bucket_features(interval_moments(consecutive_readings(hr, min_bpm)), _seconds(hours))
+    return features.drop("tinn", "rrtri", "modes", "sdann", "mean_rmssd", "mean_sdrr")
 
 
 def _one_row_per_mode(features: DataFrame) -> DataFrame:
@@ -247,7 +229,7 @@ def hrv_x_hour(
     yields that many equal rows.
     """
     scanned = RunDates.of(ds, ds_to).scan(hr, TS, lag=1)
-    base = slice_moments(consecutive_readings(scanned, min_bpm))
+    base = interval_moments(consecutive_readings(scanned, min_bpm))
     return _bucket_rows(_bucket_features(base, _seconds(hours)))
 
 
@@ -258,7 +240,8 @@ def hrv_bucket(hr: DataFrame, ds: Day = None, ds_to: Day = None, hours: int = 1,
     ``participantid`` and the ten shape statistics.
     """
     scanned = RunDates.of(ds, ds_to).scan(hr, TS)
-    features = _bucket_features(slice_moments(consecutive_readings(scanned, min_bpm)), _seconds([hours]))
+    width = hours * 3600
+    features = _bucket_features(interval_moments(consecutive_readings(scanned, min_bpm), width), [width])
     if hours == DAY_HOURS:
         return _one_row_per_mode(features).select(
             F.col("date").alias("ds"), F.col(PIM).alias("participantid"), *SHAPE_COLUMNS
@@ -272,21 +255,20 @@ def hrv_daily(
     """Daily features: means of five-minute statistics next to 24-hour ones.
 
     Both halves summarise the same pairs and so cover the same participants;
-    they come out of one pass as two bucket widths and meet in one aggregation
-    instead of a full outer join. ``strict`` keeps the published column name
-    ``eom_poincare_sd2``; otherwise it is ``geom_poincare_sd2``.
+    they come out of one pass instead of a full outer join. ``strict`` keeps
+    the published column name ``eom_poincare_sd2``; otherwise it is
+    ``geom_poincare_sd2``.
     """
     scanned = RunDates.of(ds, ds_to).scan(hr, TS)
-    day_seconds = DAY_HOURS * 3600
-    buckets = _bucket_features(
-        slice_moments(consecutive_readings(scanned, min_bpm)), [SLICE_SECONDS, day_seconds]
-    )
-    at = lambda width, c: F.avg(F.when(F.col("seconds") == width, F.col(c)))
+    width = DAY_HOURS * 3600
+    day = _bucket_features(interval_moments(consecutive_readings(scanned, min_bpm), width), [width])
     output = {"geom_poincare_sd2": "eom_poincare_sd2"} if strict else {}
-    return buckets.groupBy(F.col("date").alias("ds"), PIM).agg(
-        at(SLICE_SECONDS, "beat_interval_ms_rmssd").alias("mean_rmssd"),
-        at(SLICE_SECONDS, "beat_interval_ms_stddev").alias("mean_sdrr"),
-        *[at(day_seconds, c).alias(output.get(c, c)) for c in SHAPE_COLUMNS],
+    return day.select(
+        F.col("date").alias("ds"),
+        PIM,
+        "mean_rmssd",
+        "mean_sdrr",
+        *[F.col(c).alias(output.get(c, c)) for c in SHAPE_COLUMNS],
     )
 
 

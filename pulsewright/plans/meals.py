@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,27 +55,45 @@ def _rows(meals: DataFrame, per: str, by_time: bool) -> DataFrame:
     return rows.filter(F.col(TIME_RANGE).isNotNull()) if by_time else rows
 
 
-def meal_stats(meals: DataFrame, metric: str, per: str = "event", by_time: bool = False) -> DataFrame:
-    """Summary of one measure over meals or over participants' means.
+def _long(rows: DataFrame, metrics: Sequence[str], by_time: bool) -> tuple[DataFrame, list[str]]:
+    """One row per measure and value, so that one plan serves all measures."""
+    ids = [TIME_RANGE] if by_time else []
+    return rows.unpivot(ids, list(metrics), "metric", "value"), ["metric", *ids]
+
+
+def _names(metrics: str | Sequence[str]) -> list[str]:
+    return [metrics] if isinstance(metrics, str) else list(metrics)
+
+
+def meal_stats(
+    meals: DataFrame, metrics: str | Sequence[str] = METRICS, per: str = "event", by_time: bool = False
+) -> DataFrame:
+    """Summary of measures over meals or over participants' means.
 
-    By time of day there are four groups, hence the bounded group count.
+    Groups are measures, times four ranges by time of day: a fixed, small
+    number, hence the bounded group count.
     """
-    return describe_col(_rows(meals, per, by_time), metric, [TIME_RANGE] if by_time else (), few_groups=by_time)
+    long, keys = _long(_rows(meals, per, by_time), _names(metrics), by_time)
+    return describe_col(long, "value", keys, few_groups=True)
 
 
-def by_time_range(meals: DataFrame, metric: str, per: str = "event") -> DataFrame:
-    """Mean and median of one measure per time-of-day range."""
-    rows = _rows(meals, per, True)
-    means = rows.groupBy(TIME_RANGE).agg(F.avg(metric).alias("mean"))
-    medians = exact_quantiles(rows, metric, [0.5], ["median"], [TIME_RANGE], few_groups=True)
-    return means.join(medians, TIME_RANGE, "left")
+def by_time_range(meals: DataFrame, metrics: str | Sequence[str] = METRICS, per: str = "event") -> DataFrame:
+    """Mean and median of measures per time-of-day range."""
+    long, keys = _long(_rows(meals, per, True), _names(metrics), True)
+    means = long.groupBy(*keys).agg(F.avg("value").alias("mean"))
+    medians = exact_quantiles(long, "value", [0.5], ["median"], keys, few_groups=True)
+    return means.join(medians, keys, "left")
 
 
-def meal_histogram(meals: DataFrame, metric: str, bins: int = 150, per: str = "event") -> DataFrame:
-    """Equal-width histogram of one measure."""
-    return histogram(_rows(meals, per, False), metric, bins)
+def meal_histogram(
+    meals: DataFrame, metrics: str | Sequence[str] = METRICS, bins: int = 150, per: str = "event"
+) -> DataFrame:
+    """Equal-width histograms of measures."""
+    long, keys = _long(_rows(meals, per, False), _names(metrics), False)
+    return histogram(long, "value", bins, keys, few_groups=True)
 
 
-def meal_box(meals: DataFrame, metric: str, per: str = "event") -> DataFrame:
-    """Box statistics of one measure per time-of-day range."""
-    return box_stats(_rows(meals, per, True), [TIME_RANGE], metric, few_groups=True)
+def meal_box(meals: DataFrame, metrics: str | Sequence[str] = METRICS, per: str = "event") -> DataFrame:
+    """Box statistics of measures per time-of-day range."""
+    long, keys = _long(_rows(meals, per, True), _names(metrics), True)
+    return box_stats(long, keys, "value", few_groups=True)

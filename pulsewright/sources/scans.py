@@ -15,7 +15,8 @@ from pulsewright.operators.relational import valid_bpm
 
 Ds = str | date
 
-# CSV text forms that keep microseconds.
+# Written CSV text forms that keep microseconds. The default
+# reader understands them.
 CSV_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
@@ -87,8 +88,5 @@ def bpm_stream(hr: DataFrame, ds: Ds, days: int = 2, min_bpm: int = 40) -> DataF
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV table with a header row and an explicit schema.
-
-    Times are read in the form ``write_csv`` leaves them.
-    """
-    return spark.read.schema(schema).options(header=True, **CSV_TIMES).csv(path)
+    """CSV table with a header row and an explicit schema."""
+    return spark.read.schema(schema).csv(path, header=True)
