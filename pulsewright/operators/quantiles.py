@@ -2,8 +2,10 @@
 
 A percentile aggregate keeps all distinct values of a group in one task. Here
 the value range of a group is cut into equal slots. Slot counts (combined
-before the shuffle) show which slots hold the wanted ranks, and only values of
-those few slots are sorted. Counts are exact, so the result is exact.
+before the shuffle) show which slots hold the wanted ranks; the same is done
+once more inside those slots, over the range their values really span, so that
+a far outlier does not crowd all others into one slot. Only values of the slots
+that remain are sorted. Counts are exact, so the result is exact.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOTS = 1 << 16
+LEVELS = ("_slot", "_subslot")
 VALUE = "_value"
 ALL = "_all"
 
@@ -38,6 +41,39 @@ def _ranks(prob: float) -> tuple[Column, Column, Column]:
     return lower, F.least(lower + 1, F.col("_n") - 1), position - lower
 
 
+def _holds_any(ranks: Sequence[Column], first: Column, count: Column) -> Column:
+    found = F.lit(False)
+    for rank in ranks:
+        found = found | ((first <= rank) & (rank < first + count))
+    return found
+
+
+def _narrow(values: DataFrame, group: list[str], slot: str, ranks: Sequence[Column], few_groups: bool) -> DataFrame:
+    """Keep the values whose slot holds a wanted rank.
+
+    The first call also notes the group's size. ``_before`` counts the values of the group below the slot. A group has at
+    most SLOTS slots, so the running count over them is small.
+    """
+    facts = [F.min(VALUE).alias("_lo"), F.max(VALUE).alias("_hi")]
+    if "_n" not in values.columns:
+        facts += [F.count(VALUE).alias("_n"), F.lit(0).cast("long").alias("_before")]
+    span = values.groupBy(*group).agg(*facts)
+    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+    place = F.floor((F.col(VALUE) - F.col("_lo")) / width * SLOTS)
+    slotted = attach(values, span, group, few_groups).withColumn(
+        slot, F.coalesce(F.least(place, F.lit(SLOTS - 1)), F.lit(0))
+    )
+    running = F.sum("_c").over(Window.partitionBy(*group).orderBy(slot))
+    counts = (
+        slotted.groupBy(*group, slot)
+        .agg(F.count(F.lit(1)).alias("_c"), F.max("_before").alias("_base"), F.max("_n").alias("_n"))
+        .withColumn("_before", F.col("_base") + running - F.col("_c"))
+    )
+    targets = counts.filter(_holds_any(ranks, F.col("_before"), F.col("_c"))).select(*group, slot, "_before")
+    kept = slotted.drop("_lo", "_hi", "_before")
+    return attach(kept, targets, [*group, slot], few_groups)
+
+
 def exact_quantiles(
     df: DataFrame,
     col: str,
@@ -53,33 +89,16 @@ def exact_quantiles(
     """
     few_groups = few_groups or not by
     values, keys = keyed_values(df, col, by)
-    span = values.groupBy(*keys).agg(
-        F.min(VALUE).alias("_lo"), F.max(VALUE).alias("_hi"), F.count(VALUE).alias("_n")
-    )
-    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    place = F.floor((F.col(VALUE) - F.col("_lo")) / width * SLOTS)
-    slotted = attach(values, span, keys, few_groups).select(
-        *keys, VALUE, "_n", F.coalesce(F.least(place, F.lit(SLOTS - 1)), F.lit(0)).alias("_slot")
-    )
-
-    wanted = [rank for p in probs for rank in _ranks(p)[:2]]
-    before = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_slot")) - F.col("_c")
-    slots = (
-        slotted.groupBy(*keys, "_slot")
-        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
-        .withColumn("_before", before)
-    )
-    holds = F.lit(False)
-    for rank in wanted:
-        holds = holds | ((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c")))
-    targets = slots.filter(holds).select(*keys, "_slot", "_before")
+    ranks = [rank for p in probs for rank in _ranks(p)[:2]]
+    left, group = values, keys
+    for slot in LEVELS:
+        left = _narrow(left, group, slot, ranks, few_groups)
+        group = [*group, slot]
 
-    in_slot = Window.partitionBy(*keys, "_slot").orderBy(VALUE)
     ranked = (
-        attach(slotted, targets, [*keys, "_slot"], few_groups)
-        .groupBy(*keys, "_slot", VALUE)
+        left.groupBy(*group, VALUE)
         .agg(F.count(F.lit(1)).alias("_c"), F.max("_before").alias("_before"), F.max("_n").alias("_n"))
-        .withColumn("_end", F.col("_before") + F.sum("_c").over(in_slot))
+        .withColumn("_end", F.col("_before") + F.sum("_c").over(Window.partitionBy(*group).orderBy(VALUE)))
     )
     at = lambda rank: F.max(F.when((F.col("_end") - F.col("_c") <= rank) & (rank < F.col("_end")), F.col(VALUE)))
     found, outputs = [], []

@@ -136,8 +136,9 @@ def bpm_features(
     if runs.single is not None:
         require_rows(runs.scan(readings, TS), f"No data collected for {runs.single}.")
         return features
+    # One row per calendar day, however large the readings: safe to broadcast.
     with_readings = readings.select(F.to_date(TS).alias("ds")).distinct()
-    return features.join(with_readings, "ds", "left_semi")
+    return features.join(F.broadcast(with_readings), "ds", "left_semi")
 
 
 def flat_bpm_features(features: DataFrame) -> DataFrame:

@@ -55,12 +55,14 @@ def values(kind, n, rnd):
         return [10.0 ** rnd.uniform(-6, 12) for _ in range(n)]
     if kind == "constant":
         return [4.25] * n
+    if kind == "outlier":
+        return [rnd.gauss(100, 20) for _ in range(n - 1)] + [1e15]
     return [rnd.gauss(0, 1) for _ in range(n)]
 
 
 def test_quantiles_match_numpy(spark):
     rnd = random.Random(9)
-    data = {k: values(k, n, rnd) for k, n in (("ties", 301), ("wide", 200), ("constant", 5), ("normal", 998))}
+    data = {k: values(k, n, rnd) for k, n in (("ties", 301), ("wide", 200), ("constant", 5), ("normal", 998), ("outlier", 700))}
     data["single"] = [7.0]
     rows = [(k, v) for k, vs in data.items() for v in vs] + [("normal", None), ("normal", float("nan"))]
     frame = spark.createDataFrame(rows, "kind string, v double")
