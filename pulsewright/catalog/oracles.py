@@ -128,7 +128,7 @@ def scans() -> dict[str, str]:
             ["mean_glucose"],
         ),
         "conform_schema": with_({**needs("valid"), **PAIRS}, rounded(summary, summary_cols)),
-        "cloud_event_data": simple(
+        "cloud_event": simple(
             ("valid",), f"select 'application/json' as datacontenttype, {envelope}, * from ({daily})", MEANS
         ),
         "messages": with_(
@@ -136,7 +136,7 @@ def scans() -> dict[str, str]:
             rounded(f"select *, 'kind' as header_key, 'meal' as header from ({means})", list(METRICS)),
         ),
         "published_rows": simple(("valid",), f"select {envelope}, * from ({daily})", MEANS),
-        "run_job_daily": simple(
+        "run_job": simple(
             ("valid",),
             f"""select d as ds, pim_id, avg(bpm) as mean_bpm, stddev_pop(bpm) as sd_bpm,
             cast(min(bpm) as double) as min_bpm, cast(max(bpm) as double) as max_bpm,

@@ -18,12 +18,11 @@ from pulsewright.operators.describe import describe_col
 from pulsewright.operators.heartbeat import consecutive_readings
 from pulsewright.operators.relational import aggregate_table, cohort, outer_all, rename, value_counts
 from pulsewright.operators.triangle import bin_start
-from pulsewright.plans import bpm, events, glycemic, hrv, meals
-from pulsewright.plans.job import run_job
+from pulsewright.plans import bpm, events, glycemic, hrv, job, meals
 from pulsewright.plans.publish import publish
 from pulsewright.session import configure, scratch_path
+from pulsewright.sinks import envelope
 from pulsewright.sinks.conform import conform
-from pulsewright.sinks.envelope import cloud_event, to_messages
 from pulsewright.sinks.files import write_csv, write_json, write_partition, write_range_partitioned
 from pulsewright.sources import scans, schemas
 from pulsewright.sources.adapters import SensorTables, sensor_tables
@@ -131,9 +130,9 @@ def conform_schema(t: SensorTables) -> DataFrame:
 
 
 @query
-def cloud_event_data(t: SensorTables) -> DataFrame:
+def cloud_event(t: SensorTables) -> DataFrame:
     rows = bpm.daily_bpm_stats(t.heart_rate)
-    return cloud_event(rows, "features", "daily", "sample").select(
+    return envelope.cloud_event(rows, "features", "daily", "sample").select(
         "datacontenttype", "source", "type", "referenceprojectid", "data.*"
     )
 
@@ -141,7 +140,7 @@ def cloud_event_data(t: SensorTables) -> DataFrame:
 @query
 def messages(t: SensorTables) -> DataFrame:
     rows = rounded(meals.meal_means(t.meal_events))
-    sent = to_messages(rows, {"kind": "meal"})
+    sent = envelope.to_messages(rows, {"kind": "meal"})
     back = sent.select(F.from_json("value", rows.schema).alias("row"), F.expr("headers[0]").alias("h"))
     return back.select("row.*", F.col("h.key").alias("header_key"), F.col("h.value").cast("string").alias("header"))
 
@@ -149,25 +148,25 @@ def messages(t: SensorTables) -> DataFrame:
 @query
 def published_rows(t: SensorTables) -> DataFrame:
     rows = rounded(bpm.daily_bpm_stats(t.heart_rate))
-    envelope = T.StructType(
+    wrapped = T.StructType(
         [T.StructField(n, T.StringType()) for n in ("source", "type", "referenceprojectid")]
         + [T.StructField("data", rows.schema)]
     )
     sent = publish(rows, "features", "daily", "sample")
-    return sent.select(F.from_json("value", envelope).alias("e")).select(
+    return sent.select(F.from_json("value", wrapped).alias("e")).select(
         "e.source", "e.type", "e.referenceprojectid", "e.data.*"
     )
 
 
 @query
-def run_job_daily(t: SensorTables, spark: SparkSession) -> DataFrame:
+def run_job(t: SensorTables, spark: SparkSession) -> DataFrame:
     path = scratch_path(spark, "job")
     schema = [schemas.field("ds", "DATE"), schemas.field("pim_id", "INTEGER"), *schemas.floats([*schemas.STATS, "count_"])]
 
     def transform(heart_rate: DataFrame) -> DataFrame:
         return rename(bpm.daily_bpm_stats(heart_rate), {"date": "ds"})
 
-    run_job({"heart_rate": t.heart_rate}, transform, schema, path)
+    job.run_job({"heart_rate": t.heart_rate}, transform, schema, path)
     return spark.read.schema(schemas.struct_of(schema)).parquet(path).select("ds", "pim_id", *schemas.STATS, "count_")
 
 

@@ -49,29 +49,31 @@ def _holds_any(ranks: Sequence[Column], first: Column, count: Column) -> Column:
 
 
 def _narrow(values: DataFrame, group: list[str], slot: str, ranks: Sequence[Column], few_groups: bool) -> DataFrame:
-    """Keep the values whose slot holds a wanted rank.
+    """Cut [_lo, _hi] into slots and keep values whose slot holds a wanted rank.
 
-    The first call also notes the group's size. ``_before`` counts the values of the group below the slot. A group has at
-    most SLOTS slots, so the running count over them is small.
+    ``_before`` counts the values of all lower slots. On the result it counts
+    those below the kept slot, and ``_lo``, ``_hi`` are the ends of the values
+    in it. A group has at most SLOTS slots, so the running count over them is
+    small.
     """
-    facts = [F.min(VALUE).alias("_lo"), F.max(VALUE).alias("_hi")]
-    if "_n" not in values.columns:
-        facts += [F.count(VALUE).alias("_n"), F.lit(0).cast("long").alias("_before")]
-    span = values.groupBy(*group).agg(*facts)
     width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
     place = F.floor((F.col(VALUE) - F.col("_lo")) / width * SLOTS)
-    slotted = attach(values, span, group, few_groups).withColumn(
-        slot, F.coalesce(F.least(place, F.lit(SLOTS - 1)), F.lit(0))
-    )
+    slotted = values.withColumn(slot, F.coalesce(F.least(place, F.lit(SLOTS - 1)), F.lit(0)))
     running = F.sum("_c").over(Window.partitionBy(*group).orderBy(slot))
     counts = (
         slotted.groupBy(*group, slot)
-        .agg(F.count(F.lit(1)).alias("_c"), F.max("_before").alias("_base"), F.max("_n").alias("_n"))
+        .agg(
+            F.count(F.lit(1)).alias("_c"),
+            F.max("_before").alias("_base"),
+            F.max("_n").alias("_n"),
+            F.min(VALUE).alias("_lo"),
+            F.max(VALUE).alias("_hi"),
+        )
         .withColumn("_before", F.col("_base") + running - F.col("_c"))
     )
-    targets = counts.filter(_holds_any(ranks, F.col("_before"), F.col("_c"))).select(*group, slot, "_before")
-    kept = slotted.drop("_lo", "_hi", "_before")
-    return attach(kept, targets, [*group, slot], few_groups)
+    holding = counts.filter(_holds_any(ranks, F.col("_before"), F.col("_c")))
+    facts = holding.select(*group, slot, "_before", "_lo", "_hi")
+    return attach(slotted.drop("_before", "_lo", "_hi"), facts, [*group, slot], few_groups)
 
 
 def exact_quantiles(
@@ -90,7 +92,13 @@ def exact_quantiles(
     few_groups = few_groups or not by
     values, keys = keyed_values(df, col, by)
     ranks = [rank for p in probs for rank in _ranks(p)[:2]]
-    left, group = values, keys
+    span = values.groupBy(*keys).agg(
+        F.min(VALUE).alias("_lo"),
+        F.max(VALUE).alias("_hi"),
+        F.count(VALUE).alias("_n"),
+        F.lit(0).cast("long").alias("_before"),
+    )
+    left, group = attach(values, span, keys, few_groups), keys
     for slot in LEVELS:
         left = _narrow(left, group, slot, ranks, few_groups)
         group = [*group, slot]

@@ -114,6 +114,7 @@ def test_scan_filter_reaches_the_files(spark, tables, tmp_path):
     path = str(tmp_path / "hr")
     tables[0].write.parquet(path)
     scan = scan_bpm(spark.read.parquet(path), DS)
-    plan = scan._jdf.queryExecution().executedPlan().toString()
-    scanned = plan[plan.index("DataFilters"):plan.index("ReadSchema")]
-    assert "heart_rate_datetime_loc" in scanned and "bpm" in scanned
+    explain = spark._jvm.PythonSQLUtils.explainString(scan._jdf.queryExecution(), "formatted")
+    pushed = next(line for line in explain.splitlines() if "PushedFilters" in line)
+    assert "GreaterThanOrEqual(heart_rate_datetime_loc,2019-10-19" in pushed
+    assert "LessThan(heart_rate_datetime_loc,2019-11-02" in pushed and "GreaterThanOrEqual(bpm,40)" in pushed
