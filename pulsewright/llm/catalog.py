@@ -6,6 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulsewright.llm import decontaminate
+from pulsewright.llm.decontaminate import op1_fm_index_decontamination
+from pulsewright.llm.language import op3_hyperdimensional_language
+from pulsewright.llm.packing import op4_best_fit_packing
+from pulsewright.llm.quality import op9_risk_controlled_quality
 from pulsewright.llm.sharding import op10_interleaved_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -13,6 +18,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
+        op1_fm_index_decontamination,
+        op3_hyperdimensional_language,
+        op4_best_fit_packing,
+        op9_risk_controlled_quality,
         op10_interleaved_shards,
     )
 }
@@ -23,4 +32,4 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op1_fm_index_decontamination": decontaminate.ORACLE}
