@@ -198,16 +198,16 @@ class Shard:
         self.clear()
 
     def clear(self) -> None:
-        self.rows: list[list] = []
+        self.rows: list[tuple[str | None, int]] = []
         self.codes: list[np.ndarray] = []
         self.place: list[np.ndarray] = []
         self.bytes = 0
 
-    def add(self, key: int | None, text: str | None) -> None:
+    def add(self, text: str | None) -> None:
         words = phrase_words(text)
         lookup = self.phrases.symbol.get
         codes = np.fromiter((lookup(w, 0) for w in words), np.int64, len(words))
-        self.rows.append([key, text, len(words)])
+        self.rows.append((text, len(words)))
         at = _stretches(codes, self.shortest)
         if len(at):
             gaps = np.flatnonzero(np.diff(at) > 1) + 1
@@ -218,8 +218,8 @@ class Shard:
             self.place.append(np.full(1, -1, np.int64))
         self.bytes += 64 + 2 * len(text or "")
 
-    def found(self) -> Iterator[tuple[int | None, str | None, int, list[tuple[int, int]], list[str]]]:
-        """Per document: key, text, words, merged word spans [start, end), item ids."""
+    def found(self) -> Iterator[tuple[str | None, int, list[tuple[int, int]], list[str]]]:
+        """Per document: text, words, merged word spans [start, end), item ids."""
         if not self.rows:
             return
         spans: list[list] = [[] for _ in self.rows]
@@ -246,8 +246,8 @@ class Shard:
                     own[-1][1] = max(own[-1][1], int(e))
                 else:
                     own.append([int(b), int(e)])
-        for (key, body, n), own, ids in zip(self.rows, spans, items, strict=True):
-            yield key, body, n, [tuple(s) for s in own], sorted(ids)
+        for (body, n), own, ids in zip(self.rows, spans, items, strict=True):
+            yield body, n, [tuple(s) for s in own], sorted(ids)
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -260,38 +260,46 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-_SCHEMA = "_row long, n_words long, spans array<struct<start:long,end:long>>, items array<string>, cleaned string"
+_FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<string>, cleaned string"
 
 
-def _search(docs: DataFrame, phrases: Phrases) -> DataFrame:
+def _found_schema(docs: DataFrame, keep: tuple[str, ...]) -> str:
+    return ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema], _FOUND])
+
+
+def _search(docs: DataFrame, phrases: Phrases, keep: tuple[str, ...], text_col: str) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(phrases)
+    pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = Shard(sent.value)
+        shard, held = Shard(sent.value), []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            out = {n: [] for n in ("key", "n", "spans", "items", "cleaned")}
-            for key, body, n, spans, items in shard.found():
-                out["key"].append(key)
-                out["n"].append(n)
-                out["spans"].append([{"start": a, "end": b} for a, b in spans])
-                out["items"].append(items)
-                out["cleaned"].append(without_spans(body, spans) if spans else None)
+            found = shard.found()
+            for batch in held:
+                n, spans, items, cleaned = [], [], [], []
+                for _ in range(batch.num_rows):
+                    body, words, own, ids = next(found)
+                    n.append(words)
+                    spans.append([{"start": a, "end": b} for a, b in own])
+                    items.append(ids)
+                    cleaned.append(without_spans(body, own) if own else None)
+                results = [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pair)), pa.array(items, pa.list_(pa.string())), pa.array(cleaned, pa.string())]
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in keep], *results], names=[*keep, "n_words", "spans", "items", "cleaned"]
+                )
             shard.clear()
-            pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-            kinds = [pa.int64(), pa.int64(), pa.list_(pair), pa.list_(pa.string()), pa.string()]
-            names = ["_row", "n_words", "spans", "items", "cleaned"]
-            arrays = [pa.array(v, type=t) for v, t in zip(out.values(), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            held.clear()
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                shard.add(key, text.as_py())
-                if shard.bytes >= SHARD_BYTES:
-                    yield from flush()
+            held.append(batch)
+            for text in batch.column("_text"):
+                shard.add(text.as_py())
+            if shard.bytes >= SHARD_BYTES:
+                yield from flush()
         yield from flush()
 
-    return docs.mapInArrow(run, _SCHEMA)
+    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, _found_schema(docs, keep))
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str | None, str | None]]]:
@@ -314,54 +322,52 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str |
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
+    keep: tuple[str, ...] = ("doc_id",),
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
-    id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Per document: doc_id, n_words, spans (word ranges), items, cleaned text.
+    """``keep``, n_words, spans (word ranges), items and cleaned text of every document.
 
     ``cleaned`` is null unless something is removed. A null or empty text has no
     words; a text or item without words matches nothing; an item with a null id
     removes words but is not listed; equal ids count once. Repeated rows are searched
     each. Other columns of either table are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("_row"), F.col(text_col).alias("text"))
     blocks = _blocks(benchmark, block_bytes)
     first = next(blocks)
     second = next(blocks, None)
     if second is None:
-        return _search(rows, Phrases(first, window)).withColumnRenamed("_row", "doc_id")
-    numbered = stored(rows.withColumnRenamed("_row", "doc_id").withColumn("_row", F.monotonically_increasing_id()), "leak-rows")
+        return _search(docs, Phrases(first, window), keep, text_col)
+    numbered = stored(docs.select(*keep, F.col(text_col).alias("_text"), F.monotonically_increasing_id().alias("_row")), "leak-rows")
     parts = []
     for block in (b for group in ([first, second], blocks) for b in group):
-        hits = _search(numbered.select("_row", "text"), Phrases(block, window)).drop("cleaned")
+        hits = _search(numbered, Phrases(block, window), ("_row",), "_text").select("_row", "spans", "items")
         parts.append(stored(hits.filter(F.size("spans") > 0), "leak-hits"))
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
     merged = every.groupBy("_row").agg(
-        F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+        F.flatten(F.collect_list("spans")).alias("_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("_items")
     )
 
     def clean(batch: pa.RecordBatch) -> Iterator[dict]:
-        out: dict[str, list] = {k: [] for k in ("doc_id", "n_words", "spans", "items", "cleaned")}
-        for row in batch.to_pylist():
+        out: dict[str, list] = {k: [] for k in ("n_words", "spans", "items", "cleaned")}
+        for row in batch.select(["_text", "_spans", "_items"]).to_pylist():
             spans: list[list[int]] = []
-            for s in sorted(row["spans"] or [], key=lambda s: s["start"]):
+            for s in sorted(row["_spans"] or [], key=lambda s: s["start"]):
                 if spans and s["start"] <= spans[-1][1]:
                     spans[-1][1] = max(spans[-1][1], s["end"])
                 else:
                     spans.append([s["start"], s["end"]])
-            out["doc_id"].append(row["doc_id"])
-            out["n_words"].append(len(phrase_words(row["text"])))
+            out["n_words"].append(len(phrase_words(row["_text"])))
             out["spans"].append([{"start": a, "end": b} for a, b in spans])
-            out["items"].append(row["items"] or [])
-            out["cleaned"].append(without_spans(row["text"], [tuple(s) for s in spans]) if spans else None)
-        yield out
+            out["items"].append(row["_items"] or [])
+            out["cleaned"].append(without_spans(row["_text"], [tuple(s) for s in spans]) if spans else None)
+        yield {c: batch.column(c) for c in keep} | out
 
-    whole = numbered.join(merged, "_row", "left").select("doc_id", "text", "spans", "items")
-    return over_arrow(whole, clean, _SCHEMA.replace("_row", "doc_id"))
+    whole = numbered.join(merged, "_row", "left").select(*keep, "_text", "_spans", "_items")
+    return over_arrow(whole, clean, _found_schema(docs, keep))
 
 
 def op1_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,6 @@ looks its place up in the plan.
 
 from __future__ import annotations
 
-import heapq
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -43,27 +42,76 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 class PackedTokens:
     """Token ids of texts as little-endian 32-bit bytes.
 
-    This vocabulary drops white space, so a text's ids are those of its parts
-    between blanks, one after the other. Parts are remembered, up to a fixed number.
+    This vocabulary drops white space, so a text's ids are those of its parts between
+    blanks, one after the other. Parts are remembered, up to a fixed number. A new part
+    that is a word and closing marks is split there, as the tokenizer itself does. New
+    words go through the tokenizer in one string: a word's last id carries the
+    vocabulary's end-of-word sign, which tells them apart again.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    MARKS = ".,;:!?"
+    END = "</w>"
+
+    def __init__(self, path: str, limit: int = 700_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.known: dict[str, bytes] = {"": b""}
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.ends = np.asarray([(self.tokenizer.id_to_token(i) or "").endswith(self.END) for i in range(size)])
+
+    @classmethod
+    def of_worker(cls, path: str) -> PackedTokens:
+        """The encoder of this Python worker, which outlives a task; words learnt by one serve the next."""
+        kept = cls.__dict__.get("_kept")
+        if kept is None or kept[0] != path:
+            cls._kept = kept = (path, cls(path))
+        return kept[1]
 
     def __call__(self, text: str) -> bytes:
         parts = text.replace("\n", " ").split(" ")
         known = self.known
         if len(known) > self.limit:
-            known.clear()
-        new = [p for p in set(parts).difference(known) if p]
+            self.known = known = {"": b""}
+        new = set(parts).difference(known)
         if new:
-            for part, made in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[part] = np.asarray(made.ids, "<u4").tobytes()
-        known[""] = b""
+            self._learn(new)
         return b"".join(map(known.__getitem__, parts))
 
+    def _learn(self, parts: set[str]) -> None:
+        split, words, rest = [], set(), set()
+        for part in parts:
+            word = part.rstrip(self.MARKS)
+            if word.isalpha():
+                tail = part[len(word) :]
+                word = word.lower() if word.isascii() else word
+                split.append((part, word, tail))
+                words.add(word)
+                rest.add(tail)
+            else:
+                rest.add(part)
+        self._words([w for w in words if w not in self.known])
+        self._each([p for p in rest if p not in self.known])
+        for part, word, tail in split:
+            self.known[part] = self.known[word] + self.known[tail]
+
+    def _words(self, words: list[str]) -> None:
+        if not words:
+            return
+        ids = np.asarray(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        last = np.flatnonzero(self.ends[ids]) + 1
+        if len(last) != len(words):  # a word that the tokenizer splits after all
+            self._each(words)
+            return
+        data, at = ids.tobytes(), 0
+        for word, end in zip(words, (4 * last).tolist(), strict=True):
+            self.known[word] = data[at:end]
+            at = end
+
+    def _each(self, parts: list[str]) -> None:
+        for part, made in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False), strict=True):
+            self.known[part] = np.asarray(made.ids, "<u4").tobytes()
+
 
 def token_pieces(
     docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
@@ -71,15 +119,13 @@ def token_pieces(
     """One row per piece: doc_id, piece, start, length, ids_crc32, optionally ids."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     end = np.asarray([END_ID], "<u4").tobytes()
-    state: dict = {}
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
-        if not state:
-            state["encode"] = PackedTokens(path)
+        encode = PackedTokens.of_worker(path)
         names = schema.replace(",", "").split()[::2]
         out: dict[str, list] = {n: [] for n in names}
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            data = state["encode"](text.as_py()) + end
+            data = encode(text.as_py()) + end
             for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                 part = data[at : at + 4 * capacity]
                 row = [doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)]
