@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsewright.llm import decontaminate
+from pulsewright.llm import decontaminate, jaccard, repeats
 from pulsewright.llm.decontaminate import op1_fm_index_decontamination
+from pulsewright.llm.jaccard import op7_ngram_jaccard_join
 from pulsewright.llm.language import op3_hyperdimensional_language
 from pulsewright.llm.packing import op4_best_fit_packing
 from pulsewright.llm.quality import op9_risk_controlled_quality
+from pulsewright.llm.repeats import op8_recompression_repeats
 from pulsewright.llm.sharding import op10_interleaved_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +23,8 @@ QUERIES: dict[str, Query] = {
         op1_fm_index_decontamination,
         op3_hyperdimensional_language,
         op4_best_fit_packing,
+        op7_ngram_jaccard_join,
+        op8_recompression_repeats,
         op9_risk_controlled_quality,
         op10_interleaved_shards,
     )
@@ -32,4 +36,8 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_fm_index_decontamination": decontaminate.ORACLE}
+    return {
+        "op1_fm_index_decontamination": decontaminate.ORACLE,
+        "op7_ngram_jaccard_join": jaccard.ORACLE,
+        "op8_recompression_repeats": repeats.ORACLE,
+    }
