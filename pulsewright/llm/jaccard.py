@@ -20,14 +20,15 @@ Shingles are 64-bit hashes, as is the name of a class.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsewright.llm.common import WordHashes, mixed, over_arrow, stored, table
+from pulsewright.llm.common import GOLDEN, WordHashes, mixed, over_arrow, stored, table
 from pulsewright.llm.graph import connected_components
 
 BUCKET_BITS = 18
@@ -35,17 +36,49 @@ SHARED_BITS = 25
 BINS = 32
 
 
-def shingle_set(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text; with fewer words the whole sequence is one."""
-    words = text.encode().lower().split() if text else []
-    if not words:
-        return np.empty(0, np.int64)
-    word = hashes(words)
-    k = min(size, len(words))
-    grams = np.full(len(words) - k + 1, k, np.uint64)
+def _rolled(word: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every k words in a row."""
+    grams = np.full(len(word) - k + 1, k, np.uint64)
     for i in range(k):
-        grams = mixed(grams * np.uint64(0x9E3779B97F4A7C15) + word[i : len(words) - k + 1 + i])
-    return np.unique(grams.view(np.int64))
+        grams = mixed(grams * GOLDEN + word[i : len(word) - k + 1 + i])
+    return grams.view(np.int64)
+
+
+def _distinct(grams: np.ndarray) -> np.ndarray:
+    grams = np.sort(grams)
+    new = np.empty(len(grams), bool)
+    new[:1] = True
+    np.not_equal(grams[1:], grams[:-1], out=new[1:])
+    return grams[new]
+
+
+def shingle_sets(texts: Iterable[str | None], size: int, hashes: WordHashes) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text; with fewer words the whole sequence is one.
+
+    Texts are hashed together, some megabytes at a time.
+    """
+    words: list[list[bytes]] = []
+    held = 0
+
+    def sets() -> Iterator[np.ndarray]:
+        flat = hashes(list(chain.from_iterable(words)))
+        grams = _rolled(flat, size) if len(flat) >= size else flat[:0].view(np.int64)
+        at = 0
+        for own in words:
+            n = len(own)
+            if n >= size:
+                yield _distinct(grams[at : at + n - size + 1])
+            else:
+                yield _rolled(flat[at : at + n], n) if n else np.empty(0, np.int64)
+            at += n
+
+    for text in texts:
+        words.append(text.encode().lower().split() if text else [])
+        held += len(words[-1])
+        if held >= 500_000:
+            yield from sets()
+            words, held = [], 0
+    yield from sets()
 
 
 def _needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -60,12 +93,12 @@ def _signatures(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = WordHashes(), np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            n, sig = [], []
-            for text in batch.column(1):
-                grams = shingle_set(text.as_py(), size, hashes)
-                counts += 0 if not len(grams) else np.bincount(grams & ((1 << BUCKET_BITS) - 1), minlength=len(counts))
+            n, sig, buckets = [], [], [np.empty(0, np.int64)]
+            for grams in shingle_sets((t.as_py() for t in batch.column(1)), size, hashes):
+                buckets.append(grams & ((1 << BUCKET_BITS) - 1))
                 n.append(len(grams))
                 sig.append(xxh3_64_intdigest(grams.tobytes()))
+            counts += np.bincount(np.concatenate(buckets), minlength=len(counts))
             rows = len(n)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -96,8 +129,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, frequency: np.ndarray) -
         hashes, seen, known = WordHashes(), set(), sent.value
         for batch in batches:
             sigs, sizes, prefixes, bins = [], [], [], []
-            for text in batch.column(1):
-                grams = shingle_set(text.as_py(), size, hashes)
+            for grams in shingle_sets((t.as_py() for t in batch.column(1)), size, hashes):
                 sig = xxh3_64_intdigest(grams.tobytes())
                 if not len(grams) or sig in seen:
                     continue
@@ -224,7 +256,7 @@ class _Sets:
 
         def sets(batch: pa.RecordBatch) -> Iterator[dict]:
             hashes = state.setdefault("hashes", WordHashes())
-            grams = [shingle_set(t.as_py(), size, hashes) for t in batch.column("text")]
+            grams = list(shingle_sets((t.as_py() for t in batch.column("text")), size, hashes))
             names = np.asarray([xxh3_64_intdigest(g.tobytes()) for g in grams], np.uint64).view(np.int64)
             yield {"sig": names, "grams": grams}
 
