@@ -60,6 +60,16 @@ class Phrases:
             self.code[row, : len(codes)] = codes
         self.items = [sorted(i) for i in held.values()]
 
+    def parts(self) -> tuple:
+        """Plain values, which a broadcast can carry to workers without this package."""
+        return self.symbol, self.width, self.code, self.items
+
+    @classmethod
+    def of(cls, parts: tuple) -> Phrases:
+        made = cls([])
+        made.symbol, made.width, made.code, made.items = parts
+        return made
+
 
 class _Bits:
     """Bit vector with constant-time rank."""
@@ -268,11 +278,11 @@ def _found_schema(docs: DataFrame, keep: tuple[str, ...]) -> str:
 
 
 def _search(docs: DataFrame, phrases: Phrases, keep: tuple[str, ...], text_col: str) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(phrases)
+    sent = docs.sparkSession.sparkContext.broadcast(phrases.parts())
     pair = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = Shard(sent.value), []
+        shard, held = Shard(Phrases.of(sent.value)), []
 
         def flush() -> Iterator[pa.RecordBatch]:
             found = shard.found()

@@ -10,14 +10,13 @@ Each symbol carries the span of words that its making depended on. A window of
 ``window`` words is anchored by its first symbol of the highest level that depends on
 nothing outside the window; symbols of level 0 are single words, so there always is
 one. The anchor is a function of the window's words: windows that are equal have equal
-anchors, and nothing is missed. Spark counts anchors over all texts (12 or so words
-share one) and only windows whose anchor occurs in two different texts are hashed
+anchors, and nothing is missed. Spark counts anchors over all texts (a text has one for every 7
+words or so) and only windows whose anchor occurs in two different texts are hashed
 whole, grouped by hash, and compared by document.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
