@@ -10,9 +10,12 @@ from pulsewright.llm import decontaminate, jaccard, repeats
 from pulsewright.llm.decontaminate import op1_fm_index_decontamination
 from pulsewright.llm.jaccard import op7_ngram_jaccard_join
 from pulsewright.llm.language import op3_hyperdimensional_language
+from pulsewright.llm.lines import op2_simhash_line_dedup
 from pulsewright.llm.packing import op4_best_fit_packing
+from pulsewright.llm.pii import op6_boosted_personal_data
 from pulsewright.llm.quality import op9_risk_controlled_quality
 from pulsewright.llm.repeats import op8_recompression_repeats
+from pulsewright.llm.secrets import op5_markov_secret_scan
 from pulsewright.llm.sharding import op10_interleaved_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +24,11 @@ QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
         op1_fm_index_decontamination,
+        op2_simhash_line_dedup,
         op3_hyperdimensional_language,
         op4_best_fit_packing,
+        op5_markov_secret_scan,
+        op6_boosted_personal_data,
         op7_ngram_jaccard_join,
         op8_recompression_repeats,
         op9_risk_controlled_quality,
