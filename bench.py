@@ -28,6 +28,11 @@ HEADLINE = (
     "hrv_x_hour",
     "hrv_5min",
     "meal_describe",
+    "sleep_bpm_flags",
+    "meal_box",
+    "describe_by_participant",
+    "sdann",
+    "tinn_rrtri",
 )
 RUNS = 3
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pulsewright.catalog.queries import LAST_DAY, WIDTHS
 from pulsewright.plans.hrv import BUCKET_COLUMNS, SHAPE_COLUMNS
 from pulsewright.plans.meals import METRICS
-from pulsewright.sources.adapters import STAGE_CASE, ZONES
-from pulsewright.sources.schemas import EVENT_LABELS, PERIODS, SLEEP_LABELS, ZONE_NAMES
+from pulsewright.sources.adapters import FRACTIONAL_BPM, SESSION_BACK, STAGE_CASE, ZONES
+from pulsewright.sources.schemas import EVENT_LABELS, PERIOD_DATES, PERIODS, SLEEP_LABELS, ZONE_NAMES
 
 PIM = "user_id % 10 as pim_id"
 ZONE_ROWS = ", ".join(f"('{n}', {lo}, {hi})" for n, lo, hi in ZONES)
@@ -14,7 +14,7 @@ ZONE_ROWS = ", ".join(f"('{n}', {lo}, {hi})" for n, lo, hi in ZONES)
 TABLES = {
     "heart_rate": f"""select {PIM}, ts as heart_rate_datetime_loc,
         cast(35 + floor(value) % 150 as bigint) as bpm from events""",
-    "sleeps": f"""select {PIM}, cast(ts as date) as sleep_date_loc, ts as start_time_loc,
+    "sleeps": f"""select {PIM}, cast(ts as date) as sleep_date_loc, ts - {SESSION_BACK} as start_time_loc,
         ts + interval '7' hour as end_time_loc from events where event_type = 'signup'""",
     "sleep_detail": f"""select {PIM}, ts as sleep_datetime_loc, 600 + 300 * (event_id % 20) as sleep_duration,
         {STAGE_CASE} as sleep_stage from events where event_type = 'view'""",
@@ -35,7 +35,8 @@ TABLES = {
         from events group by 1, 2""",
     "individual_medications": """select distinct cast(user_id % 10 as varchar) as pim_id, cast(ts as date) as ds,
         cast((user_id % 10) % 4 = 0 as int) as insulin, cast((user_id % 10) % 4 = 2 as int) as biguanides,
-        cast((user_id % 10) % 3 = 0 as int) as sulfonylureas from events where event_type = 'error'""",
+        cast((user_id % 10) % 3 = 0 as int) as sulfonylureas from events
+        where user_id % 2 = 0""",
     "valid": """select pim_id, heart_rate_datetime_loc as ts, cast(heart_rate_datetime_loc as date) as d, bpm
         from heart_rate where bpm >= 40""",
 }
@@ -430,6 +431,14 @@ def events() -> dict[str, str]:
 # --- period features ---------------------------------------------------------
 
 
+def fractional(sql: str) -> str:
+    """The same over readings with fractions and NaN, of which the latter are no readings."""
+    whole = "cast(35 + floor(value) % 150 as bigint) as bpm from events"
+    return sql.replace(whole, f"{FRACTIONAL_BPM} as bpm from events").replace(
+        "from heart_rate where bpm >= 40", "from heart_rate where bpm >= 40 and not isnan(bpm)"
+    )
+
+
 def bpm_features(dedupe: bool, only: str | None = None) -> str:
     """Every period of every run date on its own, then one row per run date."""
     spans = ", ".join(f"({n})" for n in PERIODS)
@@ -486,6 +495,7 @@ def meals() -> dict[str, str]:
     spread = ["mean", "sd", "min", "max", "median"]
     ranges = "select '{m}' as metric, time_range, avg({m}) as mean, quantile_cont({m}, 0.5) as median from measures group by time_range"
     participants = {**base, "per_person": f"select pim_id, {means} from measures group by pim_id"}
+    ranged = {**base, "per_range": f"select pim_id, time_range, {means} from measures group by pim_id, time_range"}
     bars = """select '{m}' as metric, i as bin, lo + i * step as bin_start, lo + (i + 1) * step as bin_end,
         count({m}) as frequency
         from (select min({m}) as lo, (max({m}) - min({m})) / 150.0 as step from measures)
@@ -518,6 +528,15 @@ def meals() -> dict[str, str]:
         "meal_by_time_range": with_(base, rounded(stacked(ranges, METRICS), ["mean", "median"])),
         "meal_histogram": with_(base, rounded(stacked(bars, METRICS), ["bin_start", "bin_end"])),
         "meal_box": with_(base, rounded(stacked(boxes, METRICS), box_cols)),
+        "meal_histogram_participants": with_(
+            participants, rounded(stacked(bars.replace("measures", "per_person"), METRICS), ["bin_start", "bin_end"])
+        ),
+        "meal_box_participants": with_(
+            ranged, rounded(stacked(boxes.replace("measures", "per_range"), METRICS), box_cols)
+        ),
+        "meal_by_time_range_participants": with_(
+            ranged, rounded(stacked(ranges.replace("measures", "per_range"), METRICS), ["mean", "median"])
+        ),
         "excursion_rate": with_(
             base,
             rounded(
@@ -538,6 +557,76 @@ def meals() -> dict[str, str]:
     }
 
 
+# --- stored tables, single run dates, small operators ------------------------
+
+STAMP = "timestamp '2024-02-01 12:00:00' as batch_time"
+
+
+def skipped_run_dates() -> str:
+    """Run dates within the longest period of some data, without readings on the day."""
+    days = "select pim_id, d from valid where pim_id is not null"
+    days += " union select pim_id, resting_heart_heart_date_loc from resting_heart_rate where resting_heart_rate >= 40"
+    days += " union select pim_id, heart_rate_date_loc from heart_rate_zones where min_bpm >= 40 and max_bpm >= 40"
+    return with_(
+        {**needs("valid", "resting_heart_rate", "heart_rate_zones"), "days": days},
+        f"""select ds, count(*) as participants from (
+            select distinct d + cast(k as int) as ds, pim_id from days cross join range({max(PERIODS)}) r(k))
+        where ds not in (select d from valid) group by ds""",
+    )
+
+
+def as_floats(sql: str, keep: str = "ds, pim_id") -> str:
+    """Every column but the named ones as a double."""
+    return f"select {keep}, {STAMP}, cast(columns(* exclude ({keep})) as double) from ({sql})"
+
+
+def replaced(first: str, second: str) -> str:
+    """The table after the last day is written again with other rows."""
+    day = f"date '{LAST_DAY}'"
+    return f"select * from ({first}) where ds <> {day} union all by name select * from ({second}) where ds = {day}"
+
+
+def tables() -> dict[str, str]:
+    dates = ", ".join(f"p{n}_{d}" for n in PERIODS for d in PERIOD_DATES)
+    flat = lambda sql: as_floats(sql, f"ds, pim_id, {dates}")
+    event = events()
+    detail = lambda name: as_floats(event[name], "ds, pim_id, start_time, end_time, event")
+    strict_day = bpm_features(True, LAST_DAY).replace(">= 40", ">= 100")
+    return {
+        "bpm_table": replaced(flat(bpm_features(True)), flat(strict_day)),
+        "bpm_ndjson": flat(bpm_features(True, LAST_DAY)),
+        "events_detail_table": replaced(detail("events_detail"), detail("events_detail_fixed")),
+        "events_daily_table": replaced(as_floats(event["events_daily"]), as_floats(event["events_daily_fixed"])),
+    }
+
+
+def one_day() -> dict[str, str]:
+    day = lambda sql: f"select * from ({sql}) where ds = date '{LAST_DAY}'"
+    names = {**hrv(), **events()}
+    wanted = ("hrv_daily", "hrv_x_hour", "event_readings", "events_daily", "sleep_readings", "sleep_stage_readings", "sleep_bpm_flags")
+    return {f"{n}_ds": day(names[n]) for n in wanted}
+
+
+def small() -> dict[str, str]:
+    meals_ = "select * from meal_events"
+    doubles = ["peak_glucose", "excursion_size"]
+    return {
+        "guarded_readings": simple(("heart_rate",), "select * from heart_rate"),
+        "sorted_meals": simple(("meal_events",), meals_, doubles),
+        "first_meals": simple(
+            ("meal_events",),
+            f"""{meals_} order by pim_id, start_datetime_local, duration, time_to_peak, peak_glucose, excursion_size limit 25""",
+            doubles,
+        ),
+        "unplaced_readings": simple(
+            ("heart_rate",),
+            """select count_if(pim_id is null) as no_participant, count_if(ts is null) as no_time from
+            (select nullif(pim_id, 3) as pim_id, case when bpm = 77 then null else heart_rate_datetime_loc end as ts, bpm
+             from heart_rate) where bpm >= 40""",
+        ),
+    }
+
+
 def all_oracles() -> dict[str, str]:
     return {
         **scans(),
@@ -546,5 +635,12 @@ def all_oracles() -> dict[str, str]:
         "bpm_features": bpm_features(True, LAST_DAY),
         "bpm_features_backfill": bpm_features(True),
         "bpm_features_nodedupe": bpm_features(False),
+        "bpm_features_fractional": fractional(bpm_features(True)),
+        "bpm_features_fractional_nodedupe": fractional(bpm_features(False)),
+        "nan_readings": fractional(scans()["daily_bpm_stats"]),
+        "skipped_run_dates": skipped_run_dates(),
         **meals(),
+        **tables(),
+        **one_day(),
+        **small(),
     }

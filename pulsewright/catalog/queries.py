@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsewright.functions.stats import beat_interval, poincare_major, poincare_minor, rmssd
+from pulsewright.operators import heartbeat
 from pulsewright.operators.describe import describe_col
 from pulsewright.operators.heartbeat import consecutive_readings
-from pulsewright.operators.relational import aggregate_table, cohort, outer_all, rename, value_counts
+from pulsewright.operators.relational import aggregate_table, cohort, outer_all, rename, require_rows, value_counts
 from pulsewright.operators.triangle import bin_start
 from pulsewright.plans import bpm, events, glycemic, hrv, job, meals
 from pulsewright.plans.publish import publish
 from pulsewright.session import configure, scratch_path
 from pulsewright.sinks import envelope
 from pulsewright.sinks.conform import conform
-from pulsewright.sinks.files import write_csv, write_json, write_partition, write_range_partitioned
+from pulsewright.sinks.files import with_batch_time, write_csv, write_json, write_partition, write_range_partitioned
 from pulsewright.sources import scans, schemas
 from pulsewright.sources.adapters import SensorTables, sensor_tables
 
@@ -110,7 +111,7 @@ def json_roundtrip(t: SensorTables, spark: SparkSession) -> DataFrame:
 def partition_replace(t: SensorTables, spark: SparkSession) -> DataFrame:
     path = scratch_path(spark, "partitions")
     stats = bpm.daily_bpm_stats(t.heart_rate).withColumnRenamed("date", "ds")
-    write_partition(stats, path, sort=("pim_id",))
+    write_partition(stats.withColumn("mean_bpm", F.lit(0.0)), path, sort=("pim_id",))
     write_partition(stats, path, sort=("pim_id",))
     return spark.read.schema(stats.schema).parquet(path).select(*stats.columns)
 
@@ -320,8 +321,8 @@ def hrv_daily(t: SensorTables) -> DataFrame:
 # --- events ------------------------------------------------------------------
 
 
-def _event_readings(t: SensorTables, strict: bool = True) -> DataFrame:
-    return events.event_readings(t.heart_rate, t.sleeps, t.sleep_detail, t.meal_events, strict=strict)
+def _event_readings(t: SensorTables, strict: bool = True, ds: str | None = None) -> DataFrame:
+    return events.event_readings(t.heart_rate, t.sleeps, t.sleep_detail, t.meal_events, ds, strict=strict)
 
 
 @query
@@ -433,6 +434,149 @@ def bpm_features_nodedupe(t: SensorTables) -> DataFrame:
     return _bpm_features(t, dedupe=False)
 
 
+@query
+def bpm_features_fractional(t: SensorTables) -> DataFrame:
+    nested = bpm.bpm_features(t.heart_rate_fractional, t.resting_heart_rate, t.heart_rate_zones)
+    return bpm.flat_bpm_features(nested)
+
+
+@query
+def bpm_features_fractional_nodedupe(t: SensorTables) -> DataFrame:
+    nested = bpm.bpm_features(t.heart_rate_fractional, t.resting_heart_rate, t.heart_rate_zones, dedupe=False)
+    return bpm.flat_bpm_features(nested)
+
+
+@query
+def nan_readings(t: SensorTables) -> DataFrame:
+    return bpm.daily_bpm_stats(t.heart_rate_fractional)
+
+
+@query
+def skipped_run_dates(t: SensorTables) -> DataFrame:
+    return bpm.skipped_run_dates(t.heart_rate, t.resting_heart_rate, t.heart_rate_zones)
+
+
+# --- stored feature tables ---------------------------------------------------
+
+
+def _stored(spark: SparkSession, name: str, schema: schemas.FieldList, first: DataFrame, again: DataFrame) -> DataFrame:
+    """Write a table by days, write some days again, and read the table back."""
+    path = scratch_path(spark, name)
+    for rows in (first, again):
+        write_partition(conform(with_batch_time(rows, BATCH_TIME), schema), path)
+    kind = schemas.struct_of(schema)
+    back = spark.read.schema(kind).parquet(path).select(*kind.fieldNames())
+    return back.withColumn("batch_time", F.col("batch_time").cast("timestamp_ntz"))
+
+
+def _flat_table(table: DataFrame) -> DataFrame:
+    return bpm.flat_bpm_features(table, keep=("ds", "pim_id", "batch_time"))
+
+
+@query
+def bpm_table(t: SensorTables, spark: SparkSession) -> DataFrame:
+    """The last day is written again with a stricter validity cut."""
+    sources = (t.heart_rate, t.resting_heart_rate, t.heart_rate_zones)
+    every, last = bpm.bpm_features(*sources), bpm.bpm_features(*sources, LAST_DAY, min_bpm=100)
+    return _flat_table(_stored(spark, "bpm-table", schemas.BPM_FEATURES, every, last))
+
+
+@query
+def bpm_ndjson(t: SensorTables, spark: SparkSession) -> DataFrame:
+    """Nested records as NDJSON and back."""
+    path = scratch_path(spark, "bpm-ndjson")
+    nested = bpm.bpm_features(t.heart_rate, t.resting_heart_rate, t.heart_rate_zones, LAST_DAY)
+    write_json(nested, path, now=BATCH_TIME)
+    back = spark.read.schema(schemas.struct_of(schemas.BPM_FEATURES)).json(path)
+    return _flat_table(back.withColumn("batch_time", F.col("batch_time").cast("timestamp_ntz")))
+
+
+@query
+def events_detail_table(t: SensorTables, spark: SparkSession) -> DataFrame:
+    every = events.events_detail(_event_readings(t), dedupe=False)
+    fixed = events.events_detail(_event_readings(t, strict=False, ds=LAST_DAY), dedupe=False)
+    return _stored(spark, "events-detail", schemas.EVENTS_DETAIL, every, fixed)
+
+
+@query
+def events_daily_table(t: SensorTables, spark: SparkSession) -> DataFrame:
+    every = events.events_daily(_event_readings(t), dedupe=False)
+    fixed = events.events_daily(_event_readings(t, strict=False, ds=LAST_DAY), dedupe=False)
+    return _stored(spark, "events-daily", schemas.EVENTS_DAILY, every, fixed)
+
+
+# --- single run dates --------------------------------------------------------
+
+
+@query
+def hrv_daily_ds(t: SensorTables) -> DataFrame:
+    return hrv.hrv_daily(t.heart_rate, LAST_DAY)
+
+
+@query
+def hrv_x_hour_ds(t: SensorTables) -> DataFrame:
+    return hrv.hrv_x_hour(t.heart_rate, LAST_DAY)
+
+
+@query
+def event_readings_ds(t: SensorTables) -> DataFrame:
+    return _event_readings(t, ds=LAST_DAY)
+
+
+@query
+def events_daily_ds(t: SensorTables) -> DataFrame:
+    return events.events_daily(_event_readings(t, ds=LAST_DAY), dedupe=False)
+
+
+@query
+def sleep_readings_ds(t: SensorTables) -> DataFrame:
+    return events.sleep_readings(t.heart_rate, t.sleeps, t.sleep_detail, LAST_DAY)
+
+
+@query
+def sleep_stage_readings_ds(t: SensorTables) -> DataFrame:
+    return events.sleep_stage_readings(t.heart_rate, t.sleeps, t.sleep_detail, LAST_DAY)
+
+
+@query
+def sleep_bpm_flags_ds(t: SensorTables) -> DataFrame:
+    return events.sleep_bpm_flags(t.heart_rate, t.sleeps, t.sleep_detail, LAST_DAY)
+
+
+# --- small table operators ---------------------------------------------------
+
+
+@query
+def guarded_readings(t: SensorTables) -> DataFrame:
+    return require_rows(t.heart_rate, "no readings")
+
+
+MEAL_ORDER = ("pim_id", "start_datetime_local", "duration", "time_to_peak", "peak_glucose", "excursion_size")
+
+
+@query
+def sorted_meals(t: SensorTables) -> DataFrame:
+    return t.meal_events.orderBy(*MEAL_ORDER)
+
+
+@query
+def first_meals(t: SensorTables) -> DataFrame:
+    """The first rows of the sorted table."""
+    return t.meal_events.orderBy(*MEAL_ORDER).limit(25)
+
+
+@query
+def unplaced_readings(t: SensorTables) -> DataFrame:
+    """Readings of one participant lose their owner, those of one rate their time."""
+    holes = t.heart_rate.withColumns(
+        {
+            "pim_id": F.nullif("pim_id", F.lit(3)),
+            "heart_rate_datetime_loc": F.when(F.col("bpm") != 77, F.col("heart_rate_datetime_loc")),
+        }
+    )
+    return heartbeat.unplaced_readings(holes)
+
+
 # --- meals -------------------------------------------------------------------
 
 
@@ -476,6 +620,21 @@ def meal_box(t: SensorTables) -> DataFrame:
     return meals.meal_box(t.meal_events)
 
 
+@query
+def meal_histogram_participants(t: SensorTables) -> DataFrame:
+    return meals.meal_histogram(t.meal_events, per="participant")
+
+
+@query
+def meal_box_participants(t: SensorTables) -> DataFrame:
+    return meals.meal_box(t.meal_events, per="participant")
+
+
+@query
+def meal_by_time_range_participants(t: SensorTables) -> DataFrame:
+    return meals.by_time_range(t.meal_events, per="participant")
+
+
 @query
 def excursion_rate(t: SensorTables) -> DataFrame:
     return meals.by_time_range(t.meal_events, "excursion_rate").drop("metric")

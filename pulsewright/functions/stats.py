@@ -12,7 +12,8 @@ MS_PER_MINUTE = 60000.0
 Metric = Callable[[Column], Column]
 
 # Named metrics for ``aggregate_table``. Standard deviations of this family use
-# the population form; ``sd_sample`` is the sample form.
+# the population form. There is no median here: it would hold a group's values in one
+# task; see operators.quantiles.
 METRICS: dict[str, Metric] = {
     "mean_bpm": F.avg,
     "sd_bpm": F.stddev_pop,
@@ -23,15 +24,6 @@ METRICS: dict[str, Metric] = {
     "sd_resting_bpm": F.stddev_pop,
     "min_resting_bpm": F.min,
     "max_resting_bpm": F.max,
-    "min_hrzone_bpm": F.min,
-    "max_hrzone_bpm": F.max,
-    "earliest_bpm_date": F.min,
-    "latest_bpm_date": F.max,
-    "mean_rmssd": F.avg,
-    "mean_sdrr": F.avg,
-    "avg_metric_24h": F.avg,
-    "sd_sample": F.stddev_samp,
-    "median": F.median,
 }
 
 BPM_METRICS = ("mean_bpm", "sd_bpm", "min_bpm", "max_bpm", "count_")
@@ -114,6 +106,22 @@ def merged_moments(counts: Mapping[str, str]) -> list[Column]:
     return out
 
 
+def merged_variance(parts: Column) -> Column:
+    """Population variance of a short array of (n, total, m2) structs."""
+
+    def merge(s: Column, x: Column) -> Column:
+        n = s["n"] + x["n"]
+        step = x["total"] / x["n"] - s["mean"]
+        return F.struct(
+            n.alias("n"),
+            (s["mean"] + step * x["n"] / n).alias("mean"),
+            (s["m2"] + x["m2"] + step * step * s["n"] * x["n"] / n).alias("m2"),
+        )
+
+    none = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "mean", "m2")])
+    return F.aggregate(F.array_sort(parts), none, merge, lambda s: s["m2"] / F.nullif(s["n"], F.lit(0.0)))
+
+
 def sample_sd(name: str, count: str) -> Column:
     """Sample standard deviation of merged moments; null below two values."""
     n = F.col(count)

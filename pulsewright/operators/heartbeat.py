@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsewright.functions.stats import beat_interval
 from pulsewright.functions.timeops import bucket_seconds, epoch_seconds, from_epoch
@@ -39,13 +40,19 @@ def _folded_copies(hr: DataFrame, min_bpm: int) -> DataFrame:
 
 def _slice_table(copies: DataFrame) -> DataFrame:
     """One row per slice: last bpm before it, own last bpm, day mean interval."""
-    into_slice = F.unix_micros(F.col(TS).cast("timestamp")) - F.col("slice") * 1000000
-    order = into_slice * 1000000000 + F.col("bpm").cast("long")
+    if isinstance(copies.schema["bpm"].dataType, T.IntegralType):
+        into_slice = F.unix_micros(F.col(TS).cast("timestamp")) - F.col("slice") * 1000000
+        order = into_slice * 1000000000 + F.col("bpm")
+    else:
+        order = F.struct(TS, "bpm")
     slices = copies.groupBy(PIM, "slice").agg(
         F.max_by("bpm", order).alias("slice_last_bpm"),
         F.sum("copies").alias("_n"),
         F.sum(F.col("copies") * beat_interval(F.col("bpm"))).alias("_rr"),
     )
+    # Keeps both sides of the later join alike whatever columns are used, so that
+    # they read one shuffle and the readings are scanned once.
+    slices = slices.filter(F.col("_n") > 0)
     day = Window.partitionBy(PIM, "date")
     return slices.withColumn("date", F.to_date(from_epoch(F.col("slice")))).select(
         PIM,
@@ -75,6 +82,12 @@ def _repeats(copies: Column, bpm: Column, prev: Column) -> Column:
     return (copies > 1) & ~prev.eqNullSafe(bpm)
 
 
+def unplaced_readings(hr: DataFrame, min_bpm: int = 40) -> DataFrame:
+    """How many valid readings lack a participant or a time: they are part of no variability feature."""
+    lost = valid_bpm(hr, min_bpm=min_bpm).filter(F.col(PIM).isNull() | F.col(TS).isNull())
+    return lost.agg(F.count_if(F.col(PIM).isNull()).alias("no_participant"), F.count_if(F.col(TS).isNull()).alias("no_time"))
+
+
 SLICE_STATISTICS = ("slice_interval", "slice_rmssd", "slice_sdrr")
 
 

@@ -5,6 +5,10 @@ the participant compares all pairs of that participant. Here both sides also
 meet on a time bucket and a salt. A point lies in exactly one bucket, an
 interval is listed in each bucket it touches, so a pair meets at most once and
 no pair is lost.
+
+Where nothing bounds the length of an interval, buckets come in several widths.
+An interval uses the width that suits its length and is listed a few dozen times
+at most; a point is listed once per width.
 """
 
 from __future__ import annotations
@@ -20,6 +24,10 @@ SALT = "_salt"
 DEFAULT_BUCKET_SECONDS = 600
 DEFAULT_SALTS = 4
 
+# Widths grow by this factor. From ten minutes six of them reach past 10,000 years.
+WIDTH_FACTOR = 48
+WIDTHS = 6
+
 
 def bucket_points(
     points: DataFrame,
@@ -27,36 +35,52 @@ def bucket_points(
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     salts: int = DEFAULT_SALTS,
     spread: Column | None = None,
+    widths: int = 1,
 ) -> DataFrame:
     """Add the bucket and salt keys to the point side.
 
     ``spread`` is any expression that separates the rows of one hot bucket; by
-    default the point's own time.
+    default the point's own time. With several ``widths`` a point is listed once
+    for each.
     """
     spread = F.col(at) if spread is None else spread
+    keys = [_key(F.col(at), bucket_seconds, k) for k in range(widths)]
     return points.withColumns(
         {
-            BUCKET: F.floor(epoch_seconds(F.col(at)) / F.lit(bucket_seconds)),
+            BUCKET: F.explode(F.array(*keys)) if widths > 1 else keys[0],
             SALT: F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"),
         }
     )
 
 
+def _key(ts: Column, bucket_seconds: int, k: int) -> Column:
+    """Number of the bucket of the k-th width; the last decimal keeps widths apart."""
+    return F.floor(epoch_seconds(ts) / F.lit(bucket_seconds * WIDTH_FACTOR**k)) * 10 + k
+
+
 def bucket_intervals(
     intervals: DataFrame,
     lo: Column,
     hi: Column,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     salts: int = DEFAULT_SALTS,
+    widths: int = 1,
 ) -> DataFrame:
     """List each interval once per bucket it touches and per salt.
 
-    Intervals that end before they start, or lack an end, match nothing.
+    Intervals that end before they start, or lack an end, match nothing. With
+    several ``widths`` the narrowest one is used that lists the interval at most
+    WIDTH_FACTOR + 1 times.
     """
-    slot = lambda ts: F.floor(epoch_seconds(ts) / F.lit(bucket_seconds))
+    length = epoch_seconds(hi) - epoch_seconds(lo)
+    step = F.lit(10).cast("long")
+    listed = lambda k: F.sequence(_key(lo, bucket_seconds, k), _key(hi, bucket_seconds, k), step)
+    buckets = listed(widths - 1)
+    for k in reversed(range(widths - 1)):
+        buckets = F.when(length <= bucket_seconds * WIDTH_FACTOR ** (k + 1), listed(k)).otherwise(buckets)
     return (
         intervals.filter(lo <= hi)
-        .withColumn(BUCKET, F.explode(F.sequence(slot(lo), slot(hi))))
+        .withColumn(BUCKET, F.explode(buckets))
         .withColumn(SALT, F.explode(F.array(*[F.lit(s) for s in range(salts)])))
     )
 
@@ -79,16 +103,20 @@ def points_in_intervals(
 
     Shared columns other than ``key`` are not allowed. ``clip`` narrows the
     bucket list of an interval to the span in which points can match at all,
-    which bounds it whatever the interval's length. ``condition`` is a further
-    test on the pair. The bucket and salt keys stay on the result so that a
-    following aggregation can include them and needs no new shuffle.
+    which bounds it whatever the interval's length; without it, buckets of
+    several widths do, and the join must be an inner one. ``condition`` is a
+    further test on the pair. The bucket and salt keys stay on the result so that
+    a following aggregation can include them and needs no new shuffle.
     """
     first, last = F.col(lo), F.col(hi)
     if clip is not None:
         first, last = F.greatest(first, clip[0]), F.least(last, clip[1])
-    left = points if BUCKET in points.columns else bucket_points(points, at, bucket_seconds, salts, spread)
+    elif how != "inner" or BUCKET in points.columns:
+        raise ValueError("without clip the join is an inner one over points without buckets")
+    widths = WIDTHS if clip is None else 1
+    left = points if BUCKET in points.columns else bucket_points(points, at, bucket_seconds, salts, spread, widths)
     right = bucket_intervals(
-        intervals.filter(F.col(lo).isNotNull() & F.col(hi).isNotNull()), first, last, bucket_seconds, salts
+        intervals.filter(F.col(lo).isNotNull() & F.col(hi).isNotNull()), first, last, bucket_seconds, salts, widths
     )
     keys = [key, BUCKET, SALT]
     right = right.withColumnsRenamed({k: f"_iv{k}" for k in keys})

@@ -1,11 +1,14 @@
 """Exact quantiles without gathering a group in one place.
 
 A percentile aggregate keeps all distinct values of a group in one task. Here
-the value range of a group is cut into equal slots. Slot counts (combined
-before the shuffle) show which slots hold the wanted ranks; the same is done
-once more inside those slots, over the range their values really span, so that
-a far outlier does not crowd all others into one slot. Only values of the slots
-that remain are sorted. Counts are exact, so the result is exact.
+equal values fold into one row with a count, and every row has a slot: the
+whole part of a fixed, rising function of the value. Slot counts (combined
+before the shuffle) show which slots hold the wanted ranks; inside those the
+same is done once more over the range their values really span. Only values of
+the slots that remain are sorted. Counts are exact, so the result is exact.
+
+Slots need no facts of the group, so values meet facts on (group, slot) only,
+and one shuffle of folded values serves all steps.
 """
 
 from __future__ import annotations
@@ -15,23 +18,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLOTS = 1 << 16
-LEVELS = ("_slot", "_subslot")
-VALUE = "_value"
+SLOTS_PER_FACTOR = 1 << 9
+SUBSLOTS = 1 << 16
+VALUE, TIMES, PRESENT, SLOT, SUBSLOT = "_value", "_times", "_present", "_slot", "_subslot"
 ALL = "_all"
 
 
-def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], few_groups: bool) -> DataFrame:
-    """Join a table of group facts; broadcast only with a bounded group count."""
-    return df.join(F.broadcast(table) if few_groups else table, list(keys))
+def folded_values(df: DataFrame, col: str, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Distinct (group, value) rows with their count and slot; NaN counts as null.
 
-
-def keyed_values(df: DataFrame, col: str, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Group keys and present values; without keys all rows form one group."""
-    value = F.col(col).cast("double").alias(VALUE)
+    Without ``by`` all rows form one group.
+    """
     keys = list(by) or [ALL]
     source = df if by else df.withColumn(ALL, F.lit(0))
-    return source.select(*keys, value).filter(F.col(VALUE).isNotNull() & ~F.isnan(VALUE)), keys
+    c = F.col(col).cast("double")
+    folded = source.select(*keys, F.when(~F.isnan(c), c).alias(VALUE)).groupBy(*keys, VALUE).agg(
+        F.count(F.lit(1)).alias(TIMES), F.count(VALUE).alias(PRESENT)
+    )
+    return folded.withColumn(SLOT, _slot(F.col(VALUE))), keys
+
+
+def _slot(value: Column) -> Column:
+    """Slots grow with the value: 512 for each factor e, the same below zero."""
+    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * SLOTS_PER_FACTOR)
+
+
+def slot_edge(slot: Column) -> Column:
+    """A value near those of a slot."""
+    return F.signum(slot) * F.expm1(F.abs(slot) / SLOTS_PER_FACTOR)
 
 
 def _ranks(prob: float) -> tuple[Column, Column, Column]:
@@ -48,67 +62,61 @@ def _holds_any(ranks: Sequence[Column], first: Column, count: Column) -> Column:
     return found
 
 
-def _narrow(values: DataFrame, group: list[str], slot: str, ranks: Sequence[Column], few_groups: bool) -> DataFrame:
-    """Cut [_lo, _hi] into slots and keep values whose slot holds a wanted rank.
+def _facts(rows: DataFrame, group: list[str], slot: str, ranks: Sequence[Column]) -> DataFrame:
+    """Slots that hold a wanted rank, with the count of all values below them.
 
-    ``_before`` counts the values of all lower slots. On the result it counts
-    those below the kept slot, and ``_lo``, ``_hi`` are the ends of the values
-    in it. A group has at most SLOTS slots, so the running count over them is
-    small.
+    Windows run over slot counts, whose number per group is bounded.
     """
-    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    place = F.floor((F.col(VALUE) - F.col("_lo")) / width * SLOTS)
-    slotted = values.withColumn(slot, F.coalesce(F.least(place, F.lit(SLOTS - 1)), F.lit(0)))
-    running = F.sum("_c").over(Window.partitionBy(*group).orderBy(slot))
-    counts = (
-        slotted.groupBy(*group, slot)
-        .agg(
-            F.count(F.lit(1)).alias("_c"),
-            F.max("_before").alias("_base"),
-            F.max("_n").alias("_n"),
-            F.min(VALUE).alias("_lo"),
-            F.max(VALUE).alias("_hi"),
-        )
-        .withColumn("_before", F.col("_base") + running - F.col("_c"))
+    counts = rows.groupBy(*group, slot).agg(
+        F.sum(TIMES).alias("_c"), F.min(VALUE).alias("_lo"), F.max(VALUE).alias("_hi"), *_carried(rows)
     )
-    holding = counts.filter(_holds_any(ranks, F.col("_before"), F.col("_c")))
-    facts = holding.select(*group, slot, "_before", "_lo", "_hi")
-    return attach(slotted.drop("_before", "_lo", "_hi"), facts, [*group, slot], few_groups)
+    below = F.sum("_c").over(Window.partitionBy(*group).orderBy(slot)) - F.col("_c")
+    if "_n" not in counts.columns:
+        counts = counts.withColumns({"_n": F.sum("_c").over(Window.partitionBy(*group)), "_before": F.lit(0).cast("long")})
+    counts = counts.withColumn("_before", F.col("_before") + below)
+    return counts.filter(_holds_any(ranks, F.col("_before"), F.col("_c"))).drop("_c")
 
 
-def exact_quantiles(
-    df: DataFrame,
-    col: str,
-    probs: Sequence[float],
-    names: Sequence[str],
-    by: Sequence[str] = (),
-    few_groups: bool = False,
-) -> DataFrame:
-    """Linearly interpolated quantiles per group, one column per probability.
+def _carried(rows: DataFrame) -> list[Column]:
+    return [F.max(c).alias(c) for c in ("_n", "_before") if c in rows.columns]
+
+
+def meet(rows: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which null group keys are equal to each other."""
+    right = facts.withColumnsRenamed({k: f"_r{k}" for k in keys})
+    on = F.col(keys[0]).eqNullSafe(F.col(f"_r{keys[0]}"))
+    for k in keys[1:]:
+        on = on & F.col(k).eqNullSafe(F.col(f"_r{k}"))
+    return rows.join(right, on).drop(*[f"_r{k}" for k in keys])
 
-    ``few_groups`` states that ``by`` takes a small, fixed number of values;
-    group facts are then broadcast. Without ``by`` there is one group.
+
+def present(folded: DataFrame) -> DataFrame:
+    """Rows with a value.
+
+    The test is on counts: it stays above the shuffle and keeps both counts in use, so
+    that all readers of the folded values share one shuffle.
     """
-    few_groups = few_groups or not by
-    values, keys = keyed_values(df, col, by)
+    return folded.filter((F.col(PRESENT) > 0) & (F.col(TIMES) > 0))
+
+
+def quantiles_of(
+    folded: DataFrame, keys: list[str], probs: Sequence[float], names: Sequence[str]
+) -> DataFrame:
+    """Linearly interpolated quantiles of folded values, one column per probability."""
+    values = present(folded)
     ranks = [rank for p in probs for rank in _ranks(p)[:2]]
-    span = values.groupBy(*keys).agg(
-        F.min(VALUE).alias("_lo"),
-        F.max(VALUE).alias("_hi"),
-        F.count(VALUE).alias("_n"),
-        F.lit(0).cast("long").alias("_before"),
-    )
-    left, group = attach(values, span, keys, few_groups), keys
-    for slot in LEVELS:
-        left = _narrow(left, group, slot, ranks, few_groups)
-        group = [*group, slot]
-
-    ranked = (
-        left.groupBy(*group, VALUE)
-        .agg(F.count(F.lit(1)).alias("_c"), F.max("_before").alias("_before"), F.max("_n").alias("_n"))
-        .withColumn("_end", F.col("_before") + F.sum("_c").over(Window.partitionBy(*group).orderBy(VALUE)))
+    first = [*keys, SLOT]
+    left = meet(values, _facts(values, keys, SLOT, ranks), first)
+    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+    place = F.floor((F.col(VALUE) - F.col("_lo")) / width * SUBSLOTS)
+    left = left.withColumn(SUBSLOT, F.coalesce(F.least(place, F.lit(SUBSLOTS - 1)), F.lit(0))).drop("_lo", "_hi")
+    second = [*first, SUBSLOT]
+    left = meet(left.drop("_n", "_before"), _facts(left, first, SUBSLOT, ranks), second)
+
+    ranked = left.withColumn(
+        "_end", F.col("_before") + F.sum(TIMES).over(Window.partitionBy(*second).orderBy(VALUE))
     )
-    at = lambda rank: F.max(F.when((F.col("_end") - F.col("_c") <= rank) & (rank < F.col("_end")), F.col(VALUE)))
+    at = lambda rank: F.max(F.when((F.col("_end") - F.col(TIMES) <= rank) & (rank < F.col("_end")), F.col(VALUE)))
     found, outputs = [], []
     for i, (p, name) in enumerate(zip(probs, names)):
         lower, upper, _ = _ranks(p)
@@ -116,3 +124,11 @@ def exact_quantiles(
         low, high = F.col(f"_l{i}"), F.col(f"_u{i}")
         outputs.append((low + (high - low) * _ranks(p)[2]).alias(name))
     return ranked.groupBy(*keys).agg(*found, F.max("_n").alias("_n")).select(*keys, *outputs)
+
+
+def exact_quantiles(
+    df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """Linearly interpolated quantiles per group, one column per probability."""
+    folded, keys = folded_values(df, col, by)
+    return quantiles_of(folded, keys, probs, names)

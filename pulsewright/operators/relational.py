@@ -7,13 +7,20 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsewright.functions.stats import METRICS, Metric
 
 
 def valid_bpm(df: DataFrame, col: str = "bpm", min_bpm: int = 40) -> DataFrame:
-    """Drop readings below the validity cut (and missing ones)."""
-    return df.filter(F.col(col) >= min_bpm)
+    """Drop readings below the validity cut, and missing ones (null or NaN).
+
+    NaN sorts above all numbers, so it would pass the cut on its own.
+    """
+    valid = F.col(col) >= min_bpm
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
+        valid = valid & ~F.isnan(col)
+    return df.filter(valid)
 
 
 def dedupe(df: DataFrame) -> DataFrame:

@@ -7,20 +7,18 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsewright.functions.rundates import RunDates
-from pulsewright.functions.stats import BPM_METRICS, exact_variance_pop
+from pulsewright.functions.stats import BPM_METRICS, exact_variance_pop, merged_variance, moments
 from pulsewright.operators.heartbeat import TS
 from pulsewright.operators.relational import aggregate_table, flatten, require_rows, valid_bpm
 from pulsewright.sources.scans import zone_name
-from pulsewright.sources.schemas import PERIODS
+from pulsewright.sources.schemas import PERIODS, ZONE_NAMES
 
 PIM = "pim_id"
 Day = str | date | None
 
-# Zones in output order.
-ZONES = ("cardio", "fatburn", "peak", "outofrange")
-
 
 def daily_bpm_stats(hr: DataFrame, min_bpm: int = 40) -> DataFrame:
     """Mean, population SD, min, max and count of the readings of each day."""
@@ -28,20 +26,30 @@ def daily_bpm_stats(hr: DataFrame, min_bpm: int = 40) -> DataFrame:
     return aggregate_table(readings, "bpm", [PIM, "date"], BPM_METRICS)
 
 
+def _whole(hr: DataFrame) -> bool:
+    """Whether rates are whole numbers; their moments are then exact."""
+    return isinstance(hr.schema["bpm"].dataType, T.IntegralType)
+
+
 def _bpm_days(hr: DataFrame, dedupe: bool) -> DataFrame:
-    """Integer moments per participant and day.
+    """Moments per participant and day: of integers exactly, else centred.
 
-    With ``dedupe`` a rate counts once per day, as rows that repeat in
-    participant, day and rate are dropped.
+    With ``dedupe`` a rate counts once per day, as rows that repeat in participant,
+    day and rate are dropped. Whole rates fold into one row with a count in any case.
     """
-    rows = hr.select(PIM, F.to_date(TS).alias("day"), F.col("bpm").cast("long").alias("bpm"))
-    if dedupe:
-        rows = rows.distinct()
-    bpm = F.col("bpm")
+    kind = "long" if _whole(hr) else "double"
+    rows = hr.select(PIM, F.to_date(TS).alias("day"), F.col("bpm").cast(kind).alias("bpm"))
+    # Stated here, as a later join would add it to one of two equal scans only.
+    rows = rows.filter(F.col("day").isNotNull())
+    bpm, once = F.col("bpm"), F.lit(1).cast("long")
+    if dedupe or _whole(hr):
+        rows = rows.groupBy(PIM, "day", "bpm").agg(F.count(F.lit(1)).alias("times"))
+    times = once if dedupe or not _whole(hr) else F.col("times")
+    spread = F.sum(times * bpm * bpm).alias("bpm_squares") if _whole(hr) else moments("bpm", bpm)[1]
     return rows.groupBy(PIM, "day").agg(
-        F.count(bpm).alias("bpm_n"),
-        F.sum(bpm).alias("bpm_total"),
-        F.sum(bpm * bpm).alias("bpm_squares"),
+        F.sum(times).alias("bpm_n"),
+        F.sum(times * bpm).alias("bpm_total"),
+        spread,
         F.min(bpm).alias("bpm_min"),
         F.max(bpm).alias("bpm_max"),
     )
@@ -53,8 +61,8 @@ def _zone_days(zones: DataFrame) -> DataFrame:
         PIM, F.col("heart_rate_date_loc").alias("day"), zone_name(F.col("heart_rate_zone")).alias("zone"), "min_bpm", "max_bpm"
     )
     return named.groupBy(PIM, "day").agg(
-        *[F.min(at(z, "min_bpm")).alias(f"min_{z}") for z in ZONES],
-        *[F.max(at(z, "max_bpm")).alias(f"max_{z}") for z in ZONES],
+        *[F.min(at(z, "min_bpm")).alias(f"min_{z}") for z in ZONE_NAMES],
+        *[F.max(at(z, "max_bpm")).alias(f"max_{z}") for z in ZONE_NAMES],
     )
 
 
@@ -70,16 +78,21 @@ def _days(hr: DataFrame, rest: DataFrame, zones: DataFrame, dedupe: bool) -> Dat
     return first
 
 
-def _period(n: int) -> Column:
+def _period(n: int, whole: bool) -> Column:
     """Struct of one period; all its fields are null without any data in it."""
     inside = F.col("offset") < n
     have = F.count_if(inside) > 0
     at = lambda c: F.when(inside, F.col(c))
-    size, total, squares = (F.sum(at(c)) for c in ("bpm_n", "bpm_total", "bpm_squares"))
+    size, total = F.sum(at("bpm_n")), F.sum(at("bpm_total"))
+    if whole:
+        variance = exact_variance_pop(size, total, F.sum(at("bpm_squares")))
+    else:  # at most one struct per day of the period
+        part = [F.col(c).cast("double").alias(a) for c, a in (("bpm_n", "n"), ("bpm_total", "total"), ("bpm_m2", "m2"))]
+        variance = merged_variance(F.collect_list(F.when(inside & F.col("bpm_n").isNotNull(), F.struct(*part))))
     bpm_day = F.when(inside & F.col("bpm_n").isNotNull(), F.col("day"))
     fields = {
         "mean_bpm": total / F.nullif(size, F.lit(0)),
-        "sd_bpm": F.sqrt(exact_variance_pop(size, total, squares)),
+        "sd_bpm": F.sqrt(variance),
         "min_bpm": F.min(at("bpm_min")),
         "max_bpm": F.max(at("bpm_max")),
         "count_": size,
@@ -88,7 +101,7 @@ def _period(n: int) -> Column:
         "min_resting_bpm": F.min(at("resting")),
         "max_resting_bpm": F.max(at("resting")),
     }
-    for z in ZONES:
+    for z in ZONE_NAMES:
         fields[f"min_bpm_{z}"] = F.min(at(f"min_{z}"))
         fields[f"max_bpm_{z}"] = F.max(at(f"max_{z}"))
     fields |= {
@@ -101,6 +114,23 @@ def _period(n: int) -> Column:
     return F.struct(*[c.alias(name) for name, c in fields.items()]).alias(f"period_{n}d")
 
 
+def _spine(
+    hr: DataFrame, rest: DataFrame, zones: DataFrame, runs: RunDates, back: int, dedupe: bool, min_bpm: int
+) -> tuple[DataFrame, DataFrame]:
+    """Daily rows dealt to the run dates they serve, and the run dates with readings on the day."""
+    readings = runs.scan(valid_bpm(hr, min_bpm=min_bpm), TS, back=back).filter(F.col(PIM).isNotNull())
+    resting = runs.scan(valid_bpm(rest, "resting_heart_rate", min_bpm), "resting_heart_heart_date_loc", back=back)
+    bounds = valid_bpm(valid_bpm(zones, "min_bpm", min_bpm), "max_bpm", min_bpm)
+    bounds = runs.scan(bounds, "heart_rate_date_loc", back=back)
+
+    days = _days(readings, resting, bounds, dedupe)
+    offsets = F.array(*[F.lit(k) for k in range(back + 1)])
+    spine = days.withColumn("offset", F.explode(offsets)).withColumn("ds", F.date_add("day", F.col("offset")))
+    # Taken from the daily rows, whose shuffle of readings serves both uses.
+    with_readings = runs.clip(days.filter(F.col("bpm_n") > 0).select(F.col("day").alias("ds"))).distinct()
+    return runs.clip(spine), with_readings
+
+
 def bpm_features(
     hr: DataFrame,
     rest: DataFrame,
@@ -119,30 +149,38 @@ def bpm_features(
     three inputs in its longest period.
 
     A single run date without readings on the day itself raises. In a range,
-    such run dates are left out.
+    such run dates are left out; ``skipped_run_dates`` lists them.
     """
     runs = RunDates.of(ds, ds_to)
-    back = max(periods) - 1
-    readings = runs.scan(valid_bpm(hr, min_bpm=min_bpm), TS, back=back).filter(F.col(PIM).isNotNull())
-    resting = runs.scan(valid_bpm(rest, "resting_heart_rate", min_bpm), "resting_heart_heart_date_loc", back=back)
-    bounds = valid_bpm(valid_bpm(zones, "min_bpm", min_bpm), "max_bpm", min_bpm)
-    bounds = runs.scan(bounds, "heart_rate_date_loc", back=back)
-
-    days = _days(readings, resting, bounds, dedupe)
-    offsets = F.array(*[F.lit(k) for k in range(back + 1)])
-    spine = days.withColumn("offset", F.explode(offsets)).withColumn("ds", F.date_add("day", F.col("offset")))
-    spine = runs.clip(spine)
-    features = spine.groupBy("ds", PIM).agg(*[_period(n) for n in periods])
+    spine, with_readings = _spine(hr, rest, zones, runs, max(periods) - 1, dedupe, min_bpm)
+    features = spine.groupBy("ds", PIM).agg(*[_period(n, _whole(hr)) for n in periods])
     if runs.single is not None:
-        require_rows(runs.scan(readings, TS), f"No data collected for {runs.single}.")
+        require_rows(with_readings, f"No data collected for {runs.single}.")
         return features
     # One row per calendar day, however large the readings: safe to broadcast.
-    with_readings = readings.select(F.to_date(TS).alias("ds")).distinct()
     return features.join(F.broadcast(with_readings), "ds", "left_semi")
 
 
-def flat_bpm_features(features: DataFrame) -> DataFrame:
-    """Period structs as flat columns ``p<days>_<field>``."""
+def skipped_run_dates(
+    hr: DataFrame,
+    rest: DataFrame,
+    zones: DataFrame,
+    ds: Day = None,
+    ds_to: Day = None,
+    periods: Sequence[int] = PERIODS,
+    min_bpm: int = 40,
+) -> DataFrame:
+    """Run dates ``bpm_features`` leaves out, with the participants that have other data for them.
+
+    They have data in their longest period, but no readings on the day itself.
+    """
+    spine, with_readings = _spine(hr, rest, zones, RunDates.of(ds, ds_to), max(periods) - 1, True, min_bpm)
+    left = spine.select("ds", PIM).distinct().join(F.broadcast(with_readings), "ds", "left_anti")
+    return left.groupBy("ds").agg(F.count(F.lit(1)).alias("participants"))
+
+
+def flat_bpm_features(features: DataFrame, keep: Sequence[str] = ("ds", PIM)) -> DataFrame:
+    """Period structs as flat columns ``p<days>_<field>`` next to ``keep``."""
     structs = [c for c in features.columns if c.startswith("period_")]
     prefix = {c: "p" + c.removeprefix("period_").removesuffix("d") for c in structs}
-    return flatten(features, structs, ["ds", PIM], prefix)
+    return flatten(features, structs, list(keep), prefix)

@@ -46,10 +46,23 @@ def sleep_sessions(sleeps: DataFrame, runs: RunDates) -> DataFrame:
     )
 
 
-def sleep_stages(detail: DataFrame, since: Day = None, distinct: bool = True) -> DataFrame:
-    """Sleep stages with their last second. ``since`` narrows the scan."""
+def sleep_stages(
+    detail: DataFrame, since: Day = None, distinct: bool = True, sleeps: DataFrame | None = None, runs: RunDates | None = None
+) -> DataFrame:
+    """Sleep stages with their last second. ``since`` narrows the scan.
+
+    For a range of run dates the scan is bound by the sessions that ``runs``
+    selects from ``sleeps``: a stage outside them joins none of them. Their bounds
+    are known when the job runs and reach the scan.
+    """
     if since is not None:
         detail = between_days(detail, "sleep_datetime_loc", RunDates.of(since).first, None)
+    if sleeps is not None and runs is not None and (runs.first or runs.last):
+        sessions = sleep_sessions(sleeps, runs)
+        at = F.col("sleep_datetime_loc")
+        first = sessions.agg(F.min("sleep_start_time")).scalar()
+        last = sessions.agg(F.max("sleep_end_time")).scalar()
+        detail = detail.filter((at >= first) & (at <= last))
     stages = detail.filter(F.col("sleep_stage").isNotNull()).select(
         PIM,
         F.col("sleep_datetime_loc").alias("sleep_stage_start_loc"),
@@ -68,15 +81,20 @@ def sleep_stage_intervals(
     distinct: bool = True,
 ) -> DataFrame:
     """Stages that start inside a session of the same participant."""
-    sessions = sleep_sessions(sleeps, RunDates.of(ds, ds_to))
+    runs = RunDates.of(ds, ds_to)
+    stages = sleep_stages(detail, since, distinct, sleeps, runs)
+    spread = None
+    if not distinct:  # copies of a stage spread over the salts
+        stages, spread = stages.withColumn("_copy", F.monotonically_increasing_id()), F.col("_copy")
     pairs = points_in_intervals(
-        sleep_stages(detail, since, distinct),
-        sessions,
+        stages,
+        sleep_sessions(sleeps, runs),
         PIM,
         at="sleep_stage_start_loc",
         lo="sleep_start_time",
         hi="sleep_end_time",
         bucket_seconds=SESSION_BUCKET_SECONDS,
+        spread=spread,
     )
     return pairs.select(
         "ds",
@@ -155,10 +173,10 @@ def _stream(hr: DataFrame, runs: RunDates, days: int, min_bpm: int) -> DataFrame
     )
 
 
-def _stream_span(days: int) -> tuple[Column, Column]:
+def _stream_span(days: int, ds: str = "ds") -> tuple[Column, Column]:
     """First and last moment of the readings a run date looks at."""
-    first = F.date_sub("ds", days - 1).cast("timestamp_ntz")
-    last = F.date_add("ds", 1).cast("timestamp_ntz") - F.expr("interval '0.000001' second")
+    first = F.date_sub(ds, days - 1).cast("timestamp_ntz")
+    last = F.date_add(ds, 1).cast("timestamp_ntz") - F.expr("interval '0.000001' second")
     return first, last
 
 
@@ -286,17 +304,18 @@ def sleep_bpm_flags(
 
     Two left interval joins; rows that match neither drop out. Every stored
     copy of a reading yields its rows. Several run dates can look at one
-    reading, so it first gets a row per run date. Copies of a reading spread
-    over the salts by the input partition they come from.
+    reading, so it first gets a row per run date. Copies of a reading or a stage
+    spread over the salts. Intervals are clipped to the two days a run date looks
+    at, as a pair agrees on the run date.
     """
     runs = RunDates.of(ds, ds_to)
-    stream = _stream(hr, runs, 2, min_bpm).withColumn("_part", F.spark_partition_id())
+    stream = _stream(hr, runs, 2, min_bpm).withColumn("_copy", F.monotonically_increasing_id())
     dated = runs.clip(
         stream.withColumn("_later", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
             "ds", F.date_add(F.to_date("datetime_local"), F.col("_later"))
         )
     ).drop("_later")
-    points = bucket_points(dated, "datetime_local", spread=F.concat_ws("/", "datetime_local", "_part")).drop("_part")
+    points = bucket_points(dated, "datetime_local", spread=F.col("_copy")).drop("_copy")
 
     stages = sleep_stage_intervals(sleeps, detail, ds, ds_to, distinct=False).select(
         F.col("ds").alias("stage_ds"), PIM, "sleep_stage_start_loc", "sleep_stage_end_loc", "sleep_stage"
@@ -316,10 +335,19 @@ def sleep_bpm_flags(
         "sleep_stage_start_loc",
         "sleep_stage_end_loc",
         how="left",
+        clip=_stream_span(2, "stage_ds"),
         condition=F.col("ds") == F.col("stage_ds"),
     )
     flagged = points_in_intervals(
-        staged, starts, PIM, "datetime_local", "lo", "hi", how="left", condition=F.col("ds") == F.col("session_ds")
+        staged,
+        starts,
+        PIM,
+        "datetime_local",
+        "lo",
+        "hi",
+        how="left",
+        clip=_stream_span(2, "session_ds"),
+        condition=F.col("ds") == F.col("session_ds"),
     )
     return flagged.filter(F.col("sleep_stage").isNotNull() | (F.col("sleep_start_10mins") == 1)).select(
         "ds",
@@ -347,7 +375,8 @@ def events_detail(
 ) -> DataFrame:
     """One row per event: statistics of its readings (long form).
 
-    Readings with other labels, or without a start or end, are left out.
+    ``dedupe`` drops repeated rows first, which costs a shuffle; the frames of this
+    module's ``*_readings`` functions have none, so pass False for them. Readings with other labels, or without a start or end, are left out.
     """
     rows = readings.dropDuplicates() if dedupe else readings
     keys = ["start_time", "end_time"] + (["duration"] if with_duration else [])
@@ -367,7 +396,7 @@ def events_daily(
 ) -> DataFrame:
     """One row per participant and day: statistics per label (wide form).
 
-    Participants with only other labels keep an all-null row.
+    For ``dedupe`` see ``events_detail``. Participants with only other labels keep an all-null row.
     """
     rows = readings.dropDuplicates() if dedupe else readings
     aggs = []

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from pulsewright.functions.timeops import minute_boundaries, time_range
 from pulsewright.operators.describe import box_stats, describe_col, histogram
-from pulsewright.operators.quantiles import exact_quantiles
 
 # Measures of a meal, and the offset that keeps the rate finite.
 METRICS = ("start_to_normal", "start_to_peak", "peak_to_end", "peak_glucose", "excursion_size", "excursion_rate")
@@ -58,7 +57,9 @@ def _rows(meals: DataFrame, per: str, by_time: bool) -> DataFrame:
 def _long(rows: DataFrame, metrics: Sequence[str], by_time: bool) -> tuple[DataFrame, list[str]]:
     """One row per measure and value, so that one plan serves all measures."""
     ids = [TIME_RANGE] if by_time else []
-    return rows.unpivot(ids, list(metrics), "metric", "value"), ["metric", *ids]
+    # Not unpivot: two copies of its plan do not share a shuffle when it has id columns.
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])
+    return rows.select(*ids, F.explode(pairs).alias("_m")).select(*ids, "_m.metric", "_m.value"), ["metric", *ids]
 
 
 def _names(metrics: str | Sequence[str]) -> list[str]:
@@ -68,21 +69,15 @@ def _names(metrics: str | Sequence[str]) -> list[str]:
 def meal_stats(
     meals: DataFrame, metrics: str | Sequence[str] = METRICS, per: str = "event", by_time: bool = False
 ) -> DataFrame:
-    """Summary of measures over meals or over participants' means.
-
-    Groups are measures, times four ranges by time of day: a fixed, small
-    number, hence the bounded group count.
-    """
+    """Summary of measures over meals or over participants' means."""
     long, keys = _long(_rows(meals, per, by_time), _names(metrics), by_time)
-    return describe_col(long, "value", keys, few_groups=True)
+    return describe_col(long, "value", keys)
 
 
 def by_time_range(meals: DataFrame, metrics: str | Sequence[str] = METRICS, per: str = "event") -> DataFrame:
     """Mean and median of measures per time-of-day range."""
     long, keys = _long(_rows(meals, per, True), _names(metrics), True)
-    means = long.groupBy(*keys).agg(F.avg("value").alias("mean"))
-    medians = exact_quantiles(long, "value", [0.5], ["median"], keys, few_groups=True)
-    return means.join(medians, keys, "left")
+    return describe_col(long, "value", keys).select(*keys, "mean", "median")
 
 
 def meal_histogram(
@@ -90,10 +85,10 @@ def meal_histogram(
 ) -> DataFrame:
     """Equal-width histograms of measures."""
     long, keys = _long(_rows(meals, per, False), _names(metrics), False)
-    return histogram(long, "value", bins, keys, few_groups=True)
+    return histogram(long, "value", bins, keys)
 
 
 def meal_box(meals: DataFrame, metrics: str | Sequence[str] = METRICS, per: str = "event") -> DataFrame:
     """Box statistics of measures per time-of-day range."""
     long, keys = _long(_rows(meals, per, True), _names(metrics), True)
-    return box_stats(long, keys, "value", few_groups=True)
+    return box_stats(long, keys, "value")

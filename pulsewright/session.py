@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,9 +26,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session that leaves the setting unset (tests, one machine) gets a
-    local temporary folder.
+    With the setting unset, a session whose executors all live in the driver's
+    process gets a local temporary folder; any other session is refused, as its
+    executors would write to disks that nobody else reads.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="pulsewright-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"master is {master}: set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="pulsewright-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -17,6 +17,15 @@ STAGE_CASE = (
     "when 4 then 'awake' when 5 then 'asleep' else 'restless' end"
 )
 
+# Some sessions reach back beyond the two days a run date usually looks at.
+SESSION_BACK = "cast(case when event_id % 20 = 0 then 36 else 0 end as int) * interval '1' hour"
+
+# Rates with quarters, and some that are not a number.
+FRACTIONAL_BPM = (
+    "case when event_id % 50 = 0 then cast('NaN' as double) "
+    "else cast(35 + floor(value) % 150 as double) + event_id % 4 * cast(0.25 as double) end"
+)
+
 # Zone name, lower and upper bound.
 ZONES = (("Out of Range", 30, 79), ("Fat Burn", 79, 111), ("Cardio", 111, 135), ("Peak", 135, 220))
 
@@ -26,6 +35,7 @@ class SensorTables:
     """The input tables of the pipelines."""
 
     heart_rate: DataFrame
+    heart_rate_fractional: DataFrame
     sleeps: DataFrame
     sleep_detail: DataFrame
     meal_events: DataFrame
@@ -57,10 +67,13 @@ def sensor_tables(spark: SparkSession, sf_dir: str) -> SensorTables:
         heart_rate=events.selectExpr(
             PIM_EXPR, "ts as heart_rate_datetime_loc", "cast(35 + floor(value) % 150 as bigint) as bpm"
         ),
+        heart_rate_fractional=events.selectExpr(
+            PIM_EXPR, "ts as heart_rate_datetime_loc", f"{FRACTIONAL_BPM} as bpm"
+        ),
         sleeps=events.filter("event_type = 'signup'").selectExpr(
             PIM_EXPR,
             "cast(ts as date) as sleep_date_loc",
-            "ts as start_time_loc",
+            f"ts - {SESSION_BACK} as start_time_loc",
             "ts + interval '7' hour as end_time_loc",
         ),
         sleep_detail=events.filter("event_type = 'view'").selectExpr(
@@ -90,7 +103,7 @@ def sensor_tables(spark: SparkSession, sf_dir: str) -> SensorTables:
         glycemic_features=person_days.groupBy("pim_id", F.col("dt").alias("ds")).agg(
             F.avg("value").alias("mean_glucose")
         ),
-        individual_medications=events.filter("event_type = 'error'")
+        individual_medications=events.filter("user_id % 2 = 0")
         .selectExpr(
             "cast(user_id % 10 as string) as pim_id",
             "cast(ts as date) as ds",

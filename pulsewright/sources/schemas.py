@@ -51,6 +51,21 @@ def floats(names: Iterable[str]) -> FieldList:
 SLEEP_LABELS = ("wake", "light", "deep", "rem", "awake", "asleep", "restless", "bedtime_start", "bedtime_end")
 MEAL_LABELS = ("meal_start", "peak_postprandial_start", "meal_return_baseline")
 EVENT_LABELS = SLEEP_LABELS + MEAL_LABELS
+# The order of labels in the columns of the wide table.
+WIDE_LABELS = (
+    "bedtime_start",
+    "bedtime_end",
+    "wake",
+    "light",
+    "rem",
+    "deep",
+    "awake",
+    "asleep",
+    "restless",
+    "meal_start",
+    "peak_postprandial_start",
+    "meal_return_baseline",
+)
 ZONE_NAMES = ("fatburn", "cardio", "peak", "outofrange")
 PERIODS = (1, 7, 10, 14)
 STATS = ("mean_bpm", "sd_bpm", "min_bpm", "max_bpm")
@@ -77,7 +92,7 @@ EVENTS_DETAIL = (
 )
 
 EVENTS_DAILY = _ID + floats(
-    [f"{stat}_{label}" for label in EVENT_LABELS for stat in ("mean_bpm", "sd_bpm", "min_bpm", "max_bpm", "count")]
+    [f"{stat}_{label}" for label in WIDE_LABELS for stat in ("mean_bpm", "sd_bpm", "min_bpm", "max_bpm", "count")]
 )
 
 HRV_SUMMARY = [

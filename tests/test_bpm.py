@@ -2,9 +2,10 @@
 
 import json
 
+import numpy as np
 import pytest
 
-from pulsewright.plans.bpm import bpm_features, daily_bpm_stats, flat_bpm_features
+from pulsewright.plans.bpm import bpm_features, daily_bpm_stats, flat_bpm_features, skipped_run_dates
 from pulsewright.sinks.conform import conform
 from pulsewright.sources.scans import scan_bpm, scan_zones
 from pulsewright.sources.schemas import BPM_FEATURES
@@ -118,3 +119,24 @@ def test_scan_filter_reaches_the_files(spark, tables, tmp_path):
     pushed = next(line for line in explain.splitlines() if "PushedFilters" in line)
     assert "GreaterThanOrEqual(heart_rate_datetime_loc,2019-10-19" in pushed
     assert "LessThan(heart_rate_datetime_loc,2019-11-02" in pushed and "GreaterThanOrEqual(bpm,40)" in pushed
+
+
+def test_skipped_run_dates_are_reported(tables):
+    ranged = {str(r.ds) for r in bpm_features(*tables, "2019-10-20", "2019-11-02").select("ds").distinct().collect()}
+    skipped = {str(r.ds): r.participants for r in skipped_run_dates(*tables, "2019-10-20", "2019-11-02").collect()}
+    assert not ranged & set(skipped) and "2019-10-25" in skipped
+    assert all(n > 0 for n in skipped.values())
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+def test_fractional_rates_keep_their_fractions(make, tables, dedupe):
+    rates = [60.5, 60.9, 60.9, 75.25, float("nan"), 12.0]
+    rows = [(9, f"2019-11-01 08:00:{i:02d}", v) for i, v in enumerate(rates)] + [(9, "2019-10-30 08:00:00", 100.5), (8, "2019-11-01 08:00:00", 60.7), (8, "2019-10-31 09:00:00", 60.7)]
+    hr = make(rows, "pim_id bigint,heart_rate_datetime_loc timestamp_ntz,bpm double")
+    made = {r.pim_id: r for r in bpm_features(hr, tables[1], tables[2], DS, dedupe=dedupe).collect()}
+    day = sorted(set(rates[:4])) if dedupe else rates[:4]
+    one, week = made[9].period_1d, made[9].period_7d
+    assert (one.count_, one.min_bpm, one.max_bpm) == (len(day), 60.5, 75.25)
+    assert one.mean_bpm == pytest.approx(np.mean(day)) and one.sd_bpm == pytest.approx(np.std(day))
+    assert week.mean_bpm == pytest.approx(np.mean([*day, 100.5])) and week.sd_bpm == pytest.approx(np.std([*day, 100.5]))
+    assert made[8].period_7d.sd_bpm == pytest.approx(0.0, abs=1e-9)

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsewright.operators.describe import box_stats, describe_col, histogram
-from pulsewright.operators.intervals import points_in_intervals
+from pulsewright.operators.intervals import WIDTH_FACTOR, WIDTHS, bucket_intervals, points_in_intervals
 from pulsewright.operators.quantiles import exact_quantiles
-from pulsewright.operators.relational import aggregate_table, cohort, outer_all, value_counts
+from pulsewright.operators.relational import aggregate_table, cohort, outer_all, valid_bpm, value_counts
 
 T0 = datetime(2024, 1, 1)
 
@@ -41,7 +41,8 @@ def test_inner_and_left_interval_join(spark, interval_data, broadcast):
     try:
         got = points_in_intervals(left, right, "pim_id", "at", "lo", "hi").select("point", "span").collect()
         assert sorted((r.point, r.span) for r in got) == sorted(pairs)
-        kept = points_in_intervals(left, right, "pim_id", "at", "lo", "hi", how="left").select("point", "span")
+        clip = tuple(F.lit(T0 + timedelta(days=d)).cast("timestamp_ntz") for d in (-1, 3))
+        kept = points_in_intervals(left, right, "pim_id", "at", "lo", "hi", how="left", clip=clip).select("point", "span")
         unmatched = [(p, -1) for p in everyone - {p for p, _ in pairs}]
         assert sorted((r.point, -1 if r.span is None else r.span) for r in kept.collect()) == sorted(pairs + unmatched)
     finally:
@@ -68,7 +69,7 @@ def test_quantiles_match_numpy(spark):
     frame = spark.createDataFrame(rows, "kind string, v double")
     probs, names = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0], list("abcdef")
     for few in (True, False):
-        got = exact_quantiles(frame, "v", probs, names, ["kind"], few_groups=few).collect()
+        got = exact_quantiles(frame, "v", probs, names, ["kind"]).collect()
         assert len(got) == len(data)
         for r in got:
             assert [r[n] for n in names] == pytest.approx(list(np.quantile(data[r.kind], probs)), rel=1e-12)
@@ -110,3 +111,38 @@ def test_tables(spark):
     people = spark.createDataFrame([(1,), (1,)], "participant_id bigint")
     assert cohort(frame, people, "participant_id").count() == 2
     assert [tuple(r) for r in value_counts(frame.filter("v < 9"), "participant_id").collect()] == [(1, 2)]
+
+
+def test_long_intervals_are_listed_a_few_dozen_times(make):
+    day = lambda n: f"{n:04d}-01-01 00:00:00"
+    spans = make(
+        [(1, day(1930), day(2030)), (1, day(2024), "2024-01-01 08:00:00"), (1, day(1), day(9999)), (1, day(2024), day(2024))],
+        "k bigint,lo timestamp_ntz,hi timestamp_ntz",
+    )
+    rows = bucket_intervals(spans, F.col("lo"), F.col("hi"), 600, 1, WIDTHS)
+    most = rows.groupBy("lo", "hi").count().agg(F.max("count")).first()[0]
+    assert most <= WIDTH_FACTOR + 1
+
+
+def test_join_without_bounds_loses_no_pair(make):
+    rnd = random.Random(3)
+    at = lambda s: (datetime(2024, 1, 1) + timedelta(seconds=s)).isoformat(" ", "microseconds")
+    points = [(rnd.randint(0, 2), rnd.randint(-10**9, 10**9)) for _ in range(200)] + [(0, 0), (0, 600), (1, 600 * 48)]
+    spans = []
+    for _ in range(80):
+        lo = rnd.choice([p[1] for p in points]) - rnd.choice([0, 1, 599, 10**4, 10**7])
+        spans.append((rnd.randint(0, 2), lo, lo + rnd.choice([0, 600, 28_800, 28_801, 10**6, 10**8, 2 * 10**9])))
+    got = points_in_intervals(
+        make([(k, at(t)) for k, t in points], "k bigint,t timestamp_ntz"),
+        make([(k, at(a), at(b)) for k, a, b in spans], "k bigint,lo timestamp_ntz,hi timestamp_ntz"),
+        "k",
+        "t",
+        "lo",
+        "hi",
+    ).count()
+    assert got == sum(k == q and a <= t <= b for k, t in points for q, a, b in spans)
+
+
+def test_readings_that_are_no_numbers_fall_below_the_cut(spark):
+    rows = spark.createDataFrame([(float("nan"),), (39.9,), (40.0,), (None,), (60.5,)], "bpm double")
+    assert sorted(r.bpm for r in valid_bpm(rows).collect()) == [40.0, 60.5]

@@ -4,7 +4,10 @@ import re
 
 import pytest
 
-from pulsewright.plans import events, hrv
+from pulsewright.catalog.queries import WIDTHS
+from pulsewright.operators.describe import describe_col
+from pulsewright.plans import bpm, events, hrv, meals
+from pulsewright.session import scratch_path
 from pulsewright.sources.adapters import sensor_tables
 
 
@@ -56,3 +59,66 @@ def test_scan_reads_used_columns_only(tables):
     schemas = {line.strip() for line in explain.splitlines() if line.startswith("ReadSchema")}
     assert schemas == {"ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>"}
     assert "GreaterThanOrEqual(ts,2024-01-10" in explain
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        hrv.hrv_5min,
+        lambda hr: hrv.hrv_summary(hrv.hrv_5min(hr)),
+        lambda hr: hrv.sdann(hr, WIDTHS),
+        lambda hr: hrv.nn_histogram(hr, WIDTHS),
+        lambda hr: hrv.nn_modes(hr, WIDTHS),
+        lambda hr: hrv.tinn_features(hr, WIDTHS),
+        hrv.hrv_daily,
+    ],
+)
+def test_readings_are_scanned_once(large, tables, make):
+    text = plan(make(tables.heart_rate))
+    assert text.count("FileScan") == 1 and "ReusedExchange" in text
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+def test_backfill_scans_readings_once(large, spark, tables, dedupe, tmp_path):
+    # Other inputs come from files of their own, to tell the scans apart.
+    tables.resting_heart_rate.write.parquet(str(tmp_path / "rest"))
+    tables.heart_rate_zones.write.parquet(str(tmp_path / "zones"))
+    rest, zones = (spark.read.parquet(str(tmp_path / n)) for n in ("rest", "zones"))
+    text = plan(bpm.bpm_features(tables.heart_rate, rest, zones, dedupe=dedupe))
+    assert text.count("events.parquet") == 1
+
+
+def test_meal_statistics_scan_once(large, tables):
+    for make in (meals.meal_stats, meals.meal_box, meals.by_time_range, lambda t: meals.meal_stats(t, per="participant")):
+        assert plan(make(tables.meal_events)).count("FileScan") == 1
+    text = plan(describe_col(tables.meal_events, "peak_glucose", ["pim_id"]))
+    assert text.count("FileScan") == 1 and "Broadcast" not in text
+    # Only the two one-row-per-group sides meet on the group alone.
+    joins = [line for line in text.splitlines() if "SortMergeJoin" in line]
+    assert len([line for line in joins if "_slot" not in line]) == 1
+
+
+def test_single_run_date_bounds_the_stage_scan(tables):
+    t = tables
+    for df in (
+        events.event_readings(t.heart_rate, t.sleeps, t.sleep_detail, t.meal_events, "2024-01-20"),
+        events.sleep_readings(t.heart_rate, t.sleeps, t.sleep_detail, "2024-01-20"),
+        events.sleep_stage_readings(t.heart_rate, t.sleeps, t.sleep_detail, "2024-01-20"),
+        events.sleep_bpm_flags(t.heart_rate, t.sleeps, t.sleep_detail, "2024-01-20"),
+    ):
+        # Both bounds, in the filter on top of the scan of stages.
+        filters = [line for line in plan(df).splitlines() if "Filter" in line and "FileScan" not in line and "= view" in line]
+        assert filters and all(re.search(r"ts#\d+ >= Subquery.*ts#\d+ <= Subquery", line) for line in filters)
+
+
+def test_scratch_folder_needs_a_shared_place_on_a_cluster():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = self
+            self.get = lambda key, default=None: conf.get(key.split(".")[-1] if "checkpoint" not in key else "shared", default)
+
+    assert scratch_path(Session(shared="file:///x/", master="spark://a:7077"), "n").startswith("file:///x/n-")
+    assert "pulsewright-" in scratch_path(Session(master="local[4]"), "n")
+    for master in ("spark://a:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(Session(master=master), "n")
