@@ -30,7 +30,7 @@ from pulsewright.llm.jaccard import bitmap_of, in_bitmap
 WINDOW = 50
 ROUNDS = 7
 RUN_ROUNDS = (0, 3)
-BATCH_WORDS = 500_000
+BATCH_WORDS = 250_000
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
