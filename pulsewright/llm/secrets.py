@@ -2,8 +2,10 @@
 
 Two first-order Markov models over characters are trained from labelled samples, one of
 random strings and one of ordinary identifiers. A long token counts as a secret if the
-mean log-likelihood ratio of its character pairs is above a cutoff that ordinary tokens
-of the sample pass with a set, small rate. Everything is Column expressions.
+mean log-likelihood ratio of its character pairs is positive and above the cutoff that
+all but a set share of the random strings pass. The cutoff comes from the random side,
+as the ordinary side of a corpus may hold secrets nobody has labelled. Everything is
+Column expressions.
 """
 
 from __future__ import annotations
@@ -25,8 +27,11 @@ HEX = r"[0-9a-f]{16,}+"
 
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}+"
 LOW, WIDE = 43, 80  # '+' .. 'z'
+# Long tokens that count as ordinary for training: words in one case or with a capital.
+ORDINARY = "^(?:[A-Za-z]?[a-z]+(?:[_-][A-Za-z]?[a-z]++)*+|[A-Z]+(?:[_-][A-Z]++)*+)$"
+LEAN = 20
 SAMPLE_TOKENS = 200_000
-FALSE_RATE = 0.001
+MISS_RATE = 0.02
 
 
 def _pair_index(value: Column) -> Column:
@@ -39,23 +44,29 @@ def _pair_index(value: Column) -> Column:
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratio of each character pair from all rows (value, random).
 
-    Both models are conditional on the first character, with one added to each count.
-    Without samples of both kinds every ratio is zero. The table has a fixed size.
+    Both models give a character after another one; seldom seen pairs lean on how
+    frequent the character is by itself. Without samples of both kinds every ratio is
+    zero. The table has a fixed size.
     """
     pairs = samples.select("random", F.explode(_pair_index(F.col("value"))).alias("pair"))
     counts = pairs.filter(F.col("pair").between(0, WIDE * WIDE - 1)).groupBy("random", "pair").agg(F.count(F.lit(1)).alias("n"))
-    times = {True: [1.0] * (WIDE * WIDE), False: [1.0] * (WIDE * WIDE)}
+    times: dict[bool, list[int]] = {True: [0] * (WIDE * WIDE), False: [0] * (WIDE * WIDE)}
     seen = set()
     for r in counts.collect():  # at most two numbers per pair
-        times[r["random"]][r["pair"]] += r["n"]
+        times[r["random"]][r["pair"]] = r["n"]
         seen.add(r["random"])
     if len(seen) < 2:
         return [0.0] * (WIDE * WIDE)
-    total = {k: [sum(v[a * WIDE : (a + 1) * WIDE]) for a in range(WIDE)] for k, v in times.items()}
-    return [
-        math.log(times[True][i] / total[True][i // WIDE]) - math.log(times[False][i] / total[False][i // WIDE])
-        for i in range(WIDE * WIDE)
-    ]
+
+    def logs(n: list[int]) -> list[float]:
+        alone = [sum(n[b::WIDE]) + 1 for b in range(WIDE)]
+        after = [sum(n[a * WIDE : (a + 1) * WIDE]) for a in range(WIDE)]
+        whole = sum(alone)
+        return [
+            math.log((n[i] + LEAN * alone[i % WIDE] / whole) / (after[i // WIDE] + LEAN)) for i in range(WIDE * WIDE)
+        ]
+
+    return [a - b for a, b in zip(logs(times[True]), logs(times[False]), strict=True)]
 
 
 def ratio(value: Column, model: list[float]) -> Column:
@@ -64,27 +75,21 @@ def ratio(value: Column, model: list[float]) -> Column:
     known = F.split(F.lit(",".join(f"{x:.6g}" for x in model)), ",").cast("array<double>")
     pairs = _pair_index(value)
     total = F.aggregate(pairs, F.lit(0.0), lambda s, p: s + F.coalesce(F.get(known, p), F.lit(0.0)))
-    return total / F.greatest(F.size(pairs), F.lit(1))
+    return total / F.greatest(F.length(value) - 1, F.lit(1))
 
 
 def base_spans(docs: DataFrame, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
     """``keep``, the sorted spans of fixed formats, and long tokens apart from them."""
     rows = docs.select(*keep, some_text(text_col).alias("_text"))
-    found = rows.select(
-        *keep,
-        F.filter(
-            find_all(F.col("_text"), ASSIGN), lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 1)) >= ASSIGN_CHARS
-        ).alias("_assign"),
-        find_all(F.col("_text"), ACCESS).alias("_access"),
-        find_all(F.col("_text"), HEX).alias("_hex"),
-        find_all(F.col("_text"), TOKEN).alias("_token"),
-    )
+    found = find_all(rows, "_text", {"_assign": ASSIGN, "_access": ACCESS, "_hex": HEX, "_token": TOKEN})
+    long_enough = lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 1)) >= ASSIGN_CHARS
+    found = found.withColumn("_assign", F.filter("_assign", long_enough))
     based = found.select(*keep, kinds({"assign": "_assign", "access": "_access", "hex": "_hex"}).alias("base"), "_token")
     return based.select(*keep, "base", apart_from(F.col("_token"), F.col("base")).alias("tokens"))
 
 
 def _samples(found: DataFrame, limit: int) -> DataFrame:
-    """Labelled tokens: values of fixed formats are random, long tokens apart from them ordinary.
+    """Labelled tokens: values of fixed formats are random, long words apart from them ordinary.
 
     About ``limit`` of each kind, picked by hash when there are more.
     """
@@ -102,6 +107,7 @@ def _samples(found: DataFrame, limit: int) -> DataFrame:
             )
         ).alias("s")
     ).select("s.value", "s.random")
+    values = values.filter(F.col("random") | F.col("value").rlike(ORDINARY))
     n = {r["random"]: r["n"] for r in values.groupBy("random").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = lambda k: min(1.0, limit / max(1, n.get(k, 0)))
     part = F.pmod(F.xxhash64("value"), F.lit(1_000_003)) / 1_000_003
@@ -113,7 +119,7 @@ def scan(
     keep: tuple[str, ...] = ("doc_id",),
     samples: DataFrame | None = None,
     sample_tokens: int = SAMPLE_TOKENS,
-    false_rate: float = FALSE_RATE,
+    miss_rate: float = MISS_RATE,
     text_col: str = "text",
 ) -> DataFrame:
     """``keep``, ``base`` and ``spans``: arrays of (start, rank, end, kind, value), sorted.
@@ -125,9 +131,11 @@ def scan(
     """
     found = stored(base_spans(docs, keep, text_col), "secret-spans")
     labelled = stored(_samples(found, sample_tokens) if samples is None else samples, "secret-samples")
-    model = train(labelled)
-    ordinary = labelled.filter(~F.col("random")).select(ratio(F.col("value"), model).alias("r"))
-    cut = ordinary.agg(F.percentile_approx("r", 1 - false_rate, 100_000).alias("c")).first()["c"]
+    # Half of the sample trains; the other half, which the models have not seen, sets the cutoff.
+    fits = F.pmod(F.xxhash64("value", F.lit("half")), F.lit(2)) == 0
+    model = train(labelled.filter(fits))
+    known = labelled.filter(F.col("random") & ~fits).select(ratio(F.col("value"), model).alias("r"))
+    cut = known.agg(F.percentile_approx("r", miss_rate, 10_000).alias("c")).first()["c"]
     cutoff = max(0.0, cut) if cut is not None else math.inf
     added = F.transform(
         F.filter("tokens", lambda s: ratio(s["value"], model) > cutoff),

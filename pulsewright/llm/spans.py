@@ -6,7 +6,7 @@ both give the places. Places count code points, the end is exclusive.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FOUND = "array<struct<start:int,end:int,value:string>>"
@@ -16,12 +16,8 @@ def no_spans() -> Column:
     return F.array().cast(FOUND)
 
 
-def find_all(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches: array of (start, end, value), in order.
-
-    The pattern must not match the empty string.
-    """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def _placed(found: Column, text: Column, pattern: str) -> Column:
+    """Matches with their places."""
     gaps = F.split(text, pattern, -1)
     steps = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(m.alias("m"), F.length(g).alias("g")))
 
@@ -36,6 +32,18 @@ def find_all(text: Column, pattern: str) -> Column:
     return F.when(F.size(found) > 0, F.aggregate(steps, begin, step, lambda s: s["out"])).otherwise(no_spans())
 
 
+def find_all(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
+    """Add a column per pattern with its leftmost non-overlapping matches.
+
+    Each is an array of (start, end, value), in order. A pattern must not match the
+    empty string. Matches are columns of their own first: each is used several times,
+    and Spark does not repeat the search for that.
+    """
+    matched = df.select("*", *[F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0)).alias(f"{n}_found") for n, p in patterns.items()])
+    placed = [_placed(F.col(f"{n}_found"), F.col(text), p).alias(n) for n, p in patterns.items()]
+    return matched.select(*df.columns, *placed)
+
+
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
