@@ -7,7 +7,7 @@ from pulsewright.llm import secrets as s
 from pulsewright.llm.spans import joined
 from pyspark.sql import functions as F
 
-ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 
 
 def brute(text):
