@@ -26,6 +26,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Above this many rows a side is joined by shuffle.
+SMALL_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a stored side after a check of its size; beyond it Spark joins by shuffle."""
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
+
+
 def over_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
     """Apply ``fn`` to each Arrow batch; it yields dicts of column arrays."""
     from pyspark.sql.pandas.types import to_arrow_schema

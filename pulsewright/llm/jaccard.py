@@ -11,9 +11,9 @@
    after this place), and the suffix filter (partition sizes of both sets bound their
    difference), are made distinct and verified once on whole sets.
 5. A group of m near copies would give m * m / 2 pairs. Classes are first compared
-   with two leaders of each prefix shingle; then all pairs of a shingle that are still
-   in different components are compared. Pairs left out lie in one component already,
-   so components are exact.
+   with two leaders of each prefix shingle, some rounds with other leaders each time;
+   then all pairs of a shingle that are still in different components are compared.
+   Pairs left out lie in one component already, so components are exact.
 
 Shingles are 64-bit hashes, as is the name of a class.
 """
@@ -25,15 +25,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewright.llm.common import GOLDEN, WordHashes, mixed, over_arrow, stored, table
+from pulsewright.llm.common import GOLDEN, WordHashes, mixed, over_arrow, small, stored, table
 from pulsewright.llm.graph import connected_components
 
 BUCKET_BITS = 18
 SHARED_BITS = 25
 BINS = 32
+# Rounds of leaders before all pairs that are still open are compared.
+LEADER_ROUNDS = 4
 
 
 def _rolled(word: np.ndarray, k: int) -> np.ndarray:
@@ -205,29 +207,41 @@ def _pairs(found: DataFrame) -> DataFrame:
     return found.select(F.least("sig", "sig2").alias("a"), F.greatest("sig", "sig2").alias("b")).filter("a <> b").distinct()
 
 
-def _leader_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Pairs of every class with two leaders of each of its prefix shingles.
+def _leaders(postings: DataFrame, seed: int) -> DataFrame:
+    """Per token two leaders, those with the smallest and largest scrambled name, and its number of classes.
 
-    Leaders have the smallest and largest scrambled name, the same for every shingle
-    they share, so a group of near copies gives few pairs per class.
+    Scrambling does not depend on the token: a group of near copies has the same
+    leaders for all tokens it shares, which gives few pairs per class.
     """
-    key, row = F.xxhash64("sig"), F.struct("sig", "n", "pos")
-    leaders = postings.groupBy("token").agg(F.min_by(row, key).alias("lo"), F.max_by(row, key).alias("hi"))
-    leaders = leaders.filter("lo.sig <> hi.sig").select(F.col("token").alias("token2"), F.array("lo", "hi").alias("ls"))
-    met = postings.join(leaders, F.col("token") == F.col("token2"))
-    each = met.select("sig", "n", "pos", F.explode("ls").alias("l")).select(
-        "sig", "n", "pos", F.col("l.sig").alias("sig2"), F.col("l.n").alias("n2"), F.col("l.pos").alias("pos2")
+    key, row = F.xxhash64("sig", F.lit(seed)), F.struct(*[c for c in postings.columns if c != "token"])
+    leaders = postings.groupBy("token").agg(
+        F.min_by(row, key).alias("lo"), F.max_by(row, key).alias("hi"), F.count(F.lit(1)).alias("classes")
     )
+    return leaders.filter("classes > 1").withColumnRenamed("token", "token2")
+
+
+def _leader_pairs(postings: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
+    """Pairs of every class with the leaders of each of its prefix shingles."""
+    met = postings.join(leaders, F.col("token") == F.col("token2"))
+    columns = [c for c in postings.columns if c != "token"]
+    each = met.select(*columns, F.explode(F.array("lo", "hi")).alias("l"))
+    each = each.select(*columns, *[F.col(f"l.{c}").alias(f"{c}2") for c in columns])
+    if "c" in columns:
+        each = each.filter("c <> c2")
     return _pairs(each.filter(_may_match(percent)))
 
 
-def _open_pairs(postings: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """All pairs on a shared prefix shingle whose classes lie in different components."""
+def _still_open(postings: DataFrame, components: DataFrame) -> DataFrame:
+    """Postings, with components ``c``, of shingles whose classes lie in several components."""
     named = postings.join(components, F.col("sig") == F.col("node"), "left").select(
         "token", "sig", "n", "pos", F.coalesce("component", "sig").alias("c")
     )
-    mixed_tokens = named.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("token")
-    rows = stored(named.join(mixed_tokens, "token", "left_semi"), "jaccard-open")
+    open_tokens = named.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("token")
+    return stored(named.join(open_tokens, "token", "left_semi"), "jaccard-open")
+
+
+def _open_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """All pairs on a shared prefix shingle whose classes lie in different components."""
     other = rows.select(*[F.col(c).alias(f"{c}2") for c in rows.columns])
     met = rows.join(other, (F.col("token") == F.col("token2")) & (F.col("c") < F.col("c2")) & _may_match(percent))
     return _pairs(met)
@@ -260,8 +274,8 @@ class _Sets:
             names = np.asarray([xxh3_64_intdigest(g.tobytes()) for g in grams], np.uint64).view(np.int64)
             yield {"sig": names, "grams": grams}
 
-        ids = self.reps.join(sigs, "sig", "left_semi").select("rep").distinct()
-        texts = self.docs.join(ids, self.docs["doc_id"] == ids["rep"], "left_semi")
+        ids = stored(self.reps.join(sigs, "sig", "left_semi").select("rep").distinct(), "jaccard-wanted")
+        texts = self.docs.join(small(ids, ids.count()), F.col("doc_id") == F.col("rep"), "left_semi")
         return stored(over_arrow(texts, sets, "sig long, grams array<long>"), "jaccard-sets")
 
     def verified(self, pairs: DataFrame, percent: int) -> DataFrame:
@@ -308,14 +322,24 @@ def jaccard_components(
     sizes = classes.groupBy("sig").agg(F.first("n").alias("n"), F.first("bins").alias("bins"))
 
     sets = _Sets(named, reps, shingle)
-    first = stored(_suffix_filtered(_leader_pairs(postings, percent), sizes, percent), "jaccard-pairs")
-    links = stored(sets.verified(first, percent), "jaccard-links")
+    leaders = stored(_leaders(postings, 0), "jaccard-leaders")
+    tested = stored(_suffix_filtered(_leader_pairs(postings, leaders, percent), sizes, percent), "jaccard-pairs")
+    links = stored(sets.verified(tested, percent), "jaccard-links")
     components = stored(connected_components(links), "jaccard-components")
-    rest = _open_pairs(postings, components, percent).join(first, ["a", "b"], "left_anti")
-    more = stored(_suffix_filtered(rest, sizes, percent), "jaccard-pairs")
-    if not more.isEmpty():
-        found = stored(sets.verified(more, percent), "jaccard-links")
-        components = stored(connected_components(links.unionByName(found)), "jaccard-components")
+    # Two or three classes are all compared by now.
+    wide = leaders.filter("classes > 3").select(F.col("token2").alias("token"))
+    rows = postings.join(wide, "token", "left_semi")
+    for seed in range(1, LEADER_ROUNDS + 1):
+        rows = _still_open(rows.select("token", "sig", "n", "pos"), components)
+        last = seed == LEADER_ROUNDS
+        pairs = _open_pairs(rows, percent) if last else _leader_pairs(rows, _leaders(rows, seed), percent)
+        fresh = pairs.join(tested, ["a", "b"], "left_anti")
+        fresh = stored(_suffix_filtered(fresh, sizes, percent), "jaccard-pairs")
+        if fresh.isEmpty():
+            continue
+        tested = tested.unionByName(fresh)
+        links = links.unionByName(stored(sets.verified(fresh, percent), "jaccard-links"))
+        components = stored(connected_components(links), "jaccard-components")
 
     grouped = reps.join(components, F.col("sig") == F.col("node"), "left").select(
         "sig", "rep", F.coalesce("component", "sig").alias("c")
@@ -332,9 +356,9 @@ def jaccard_components(
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """Documents without their near copies: the smallest id of each component stays."""
-    found = stored(jaccard_components(docs, shingle, percent), "jaccard-result")
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    found = jaccard_components(docs, shingle, percent)
+    gone = stored(found.filter("doc_id <> component_id").select("doc_id").distinct(), "jaccard-gone")
+    return docs.join(small(gone, gone.count()), "doc_id", "left_anti")
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
