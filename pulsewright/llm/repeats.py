@@ -226,7 +226,9 @@ def _removed(rows: DataFrame, window: int) -> DataFrame:
     shared = bitmap_of(names, "name")
     windows = stored(_windows(rows, window, shared), "repeat-windows")
     least = windows.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
-    met = windows.join(least.select("h", "least"), "h").filter("doc_id > least")
+    # Stored: the join then deals out both sides anew, and a hash with very many windows can be split.
+    least = stored(least.select("h", "least"), "repeat-least")
+    met = windows.join(least, "h").filter("doc_id > least")
     starts = met.groupBy("doc_id", "th").agg(F.collect_list("p").alias("starts"))
 
     ids = stored(rows.filter("doc_id is not null").select("doc_id", "th"), "repeat-ids")
