@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsewright.llm import decontaminate, jaccard, repeats
+from pulsewright.llm import decontaminate, divergence, jaccard, negatives, repeats
 from pulsewright.llm.decontaminate import op1_fm_index_decontamination
+from pulsewright.llm.divergence import op11_level_product_divergence
 from pulsewright.llm.jaccard import op7_ngram_jaccard_join
 from pulsewright.llm.language import op3_hyperdimensional_language
 from pulsewright.llm.lines import op2_simhash_line_dedup
+from pulsewright.llm.negatives import op13_threshold_hard_negatives
 from pulsewright.llm.packing import op4_best_fit_packing
 from pulsewright.llm.pii import op6_boosted_personal_data
 from pulsewright.llm.quality import op9_risk_controlled_quality
@@ -33,6 +35,8 @@ QUERIES: dict[str, Query] = {
         op8_recompression_repeats,
         op9_risk_controlled_quality,
         op10_interleaved_shards,
+        op11_level_product_divergence,
+        op13_threshold_hard_negatives,
     )
 }
 
@@ -46,4 +50,6 @@ def llm_oracles() -> dict[str, str]:
         "op1_fm_index_decontamination": decontaminate.ORACLE,
         "op7_ngram_jaccard_join": jaccard.ORACLE,
         "op8_recompression_repeats": repeats.ORACLE,
+        "op11_level_product_divergence": divergence.ORACLE,
+        "op13_threshold_hard_negatives": negatives.ORACLE,
     }
