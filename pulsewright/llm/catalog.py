@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsewright.llm import decontaminate, divergence, jaccard, negatives, repeats
+from pulsewright.llm import decontaminate, divergence, jaccard, negatives, repeats, sketches
 from pulsewright.llm.decontaminate import op1_fm_index_decontamination
 from pulsewright.llm.divergence import op11_level_product_divergence
 from pulsewright.llm.jaccard import op7_ngram_jaccard_join
@@ -19,6 +19,7 @@ from pulsewright.llm.quality import op9_risk_controlled_quality
 from pulsewright.llm.repeats import op8_recompression_repeats
 from pulsewright.llm.secrets import op5_markov_secret_scan
 from pulsewright.llm.sharding import op10_interleaved_shards
+from pulsewright.llm.sketches import op12_bottom_k_near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +37,7 @@ QUERIES: dict[str, Query] = {
         op9_risk_controlled_quality,
         op10_interleaved_shards,
         op11_level_product_divergence,
+        op12_bottom_k_near_dedup,
         op13_threshold_hard_negatives,
     )
 }
@@ -51,5 +53,6 @@ def llm_oracles() -> dict[str, str]:
         "op7_ngram_jaccard_join": jaccard.ORACLE,
         "op8_recompression_repeats": repeats.ORACLE,
         "op11_level_product_divergence": divergence.ORACLE,
+        "op12_bottom_k_near_dedup": sketches.ORACLE,
         "op13_threshold_hard_negatives": negatives.ORACLE,
     }
