@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulsewright.catalog.queries import LAST_DAY, WIDTHS
+from pulsewright.catalog.queries import DAY_BEFORE, LAST_DAY, WIDTHS
 from pulsewright.plans.hrv import BUCKET_COLUMNS, SHAPE_COLUMNS
 from pulsewright.plans.meals import METRICS
 from pulsewright.sources.adapters import FRACTIONAL_BPM, SESSION_BACK, STAGE_CASE, ZONES
@@ -600,6 +600,27 @@ def tables() -> dict[str, str]:
     }
 
 
+def reruns() -> dict[str, str]:
+    """Days and ranges replaced as named, without rows for one of them."""
+    kept = f"select * from valid where d < date '{DAY_BEFORE}' or d > date '{LAST_DAY}' or d = date '{DAY_BEFORE}' and bpm >= 100"
+    stats = f"select pim_id, d as ds, {STAT_LIST} from ({kept}) group by pim_id, d"
+    return {
+        "partition_emptied": simple(("valid",), stats, MEANS),
+        "run_job_emptied": simple(
+            ("valid",), f"select ds, pim_id, cast(columns(* exclude (ds, pim_id)) as double) from ({stats})", MEANS
+        ),
+        "range_replace": simple(
+            ("glycemic_features", "individual_medications"),
+            """select f.pim_id, f.ds, mean_glucose + cast(insulin + 2 * biguanides = 0 as int) as mean_glucose,
+            insulin, biguanides, sulfonylureas, insulin + 2 * biguanides as level,
+            cast(insulin + 2 * biguanides as bigint) as range_start
+            from glycemic_features f join individual_medications m
+            on f.pim_id = cast(m.pim_id as bigint) and f.ds = m.ds where insulin + 2 * biguanides <> 1""",
+            ["mean_glucose"],
+        ),
+    }
+
+
 def one_day() -> dict[str, str]:
     day = lambda sql: f"select * from ({sql}) where ds = date '{LAST_DAY}'"
     names = {**hrv(), **events()}
@@ -641,6 +662,7 @@ def all_oracles() -> dict[str, str]:
         "skipped_run_dates": skipped_run_dates(),
         **meals(),
         **tables(),
+        **reruns(),
         **one_day(),
         **small(),
     }

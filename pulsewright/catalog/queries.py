@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsewright.functions.rundates import RunDates
 from pulsewright.functions.stats import beat_interval, poincare_major, poincare_minor, rmssd
+from pulsewright.functions.timeops import on_day
 from pulsewright.operators import heartbeat
 from pulsewright.operators.describe import describe_col
-from pulsewright.operators.heartbeat import consecutive_readings
+from pulsewright.operators.heartbeat import TS, consecutive_readings
 from pulsewright.operators.relational import aggregate_table, cohort, outer_all, rename, require_rows, value_counts
 from pulsewright.operators.triangle import bin_start
 from pulsewright.plans import bpm, events, glycemic, hrv, job, meals
@@ -32,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The latest run date of the sample tables, for the forms that take a single one.
 LAST_DAY = "2024-01-30"
+DAY_BEFORE = "2024-01-29"
 BATCH_TIME = datetime(2024, 2, 1, 12, 0, 0)
 WIDTHS = (1, 3, 6, 12)
 
@@ -124,6 +127,44 @@ def range_partition(t: SensorTables, spark: SparkSession) -> DataFrame:
     return spark.read.parquet(path).withColumn("range_start", F.col("range_start").cast("bigint"))
 
 
+def _rerun_stats(hr: DataFrame) -> DataFrame:
+    """Daily statistics of a rerun over the last two days: a stricter cut, and no reading on the last day."""
+    return bpm.daily_bpm_stats(on_day(hr, TS, DAY_BEFORE), min_bpm=100).withColumnRenamed("date", "ds")
+
+
+@query
+def partition_emptied(t: SensorTables, spark: SparkSession) -> DataFrame:
+    """A rerun of two days, one of which has no rows any more."""
+    path = scratch_path(spark, "emptied")
+    stats = bpm.daily_bpm_stats(t.heart_rate).withColumnRenamed("date", "ds")
+    write_partition(stats, path)
+    write_partition(_rerun_stats(t.heart_rate), path, days=RunDates.of(DAY_BEFORE, LAST_DAY))
+    return spark.read.schema(stats.schema).parquet(path).select(*stats.columns)
+
+
+@query
+def run_job_emptied(t: SensorTables, spark: SparkSession) -> DataFrame:
+    """The same rerun as a job."""
+    path = scratch_path(spark, "job-emptied")
+    schema = [schemas.field("ds", "DATE"), schemas.field("pim_id", "INTEGER"), *schemas.floats([*schemas.STATS, "count_"])]
+    every = lambda heart_rate: rename(bpm.daily_bpm_stats(heart_rate), {"date": "ds"})
+    job.run_job({"heart_rate": t.heart_rate}, every, schema, path)
+    job.run_job({"hr": t.heart_rate}, _rerun_stats, schema, path, DAY_BEFORE, ds_to=LAST_DAY)
+    return spark.read.schema(schemas.struct_of(schema)).parquet(path).select("ds", "pim_id", *schemas.STATS, "count_")
+
+
+@query
+def range_replace(t: SensorTables, spark: SparkSession) -> DataFrame:
+    """Two ranges are replaced, one of them by nothing."""
+    path = scratch_path(spark, "ranges-replaced")
+    joined = glycemic.glycemic_medications(t.glycemic_features, t.individual_medications)
+    joined = joined.withColumn("level", F.col("insulin") + 2 * F.col("biguanides"))
+    again = joined.filter("level = 0").withColumn("mean_glucose", F.col("mean_glucose") + 1)
+    write_range_partitioned(joined, path, "level", 0, 1, 10)
+    write_range_partitioned(again, path, "level", 0, 1, 10, ranges=[0, 1])
+    return spark.read.parquet(path).withColumn("range_start", F.col("range_start").cast("bigint"))
+
+
 @query
 def conform_schema(t: SensorTables) -> DataFrame:
     summary = hrv.hrv_summary(hrv.hrv_5min(t.heart_rate)).withColumn("pim_id", F.col("pim_id").cast("string"))

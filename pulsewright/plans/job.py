@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from pulsewright.functions.rundates import RunDates
 from pulsewright.operators.relational import cohort
 from pulsewright.sinks.conform import conform
 from pulsewright.sinks.files import write_partition
@@ -23,15 +24,23 @@ def run_job(
     ds: str | date | None = None,
     participants: DataFrame | None = None,
     participant_key: str = "pim_id",
+    ds_to: str | date | None = None,
 ) -> None:
-    """Run ``transform(**sources)`` and replace the result's daily partitions.
+    """Run ``transform(**sources)`` and replace daily partitions of the table.
 
-    ``participants`` restricts every source to a cohort. ``ds`` is stamped on a
-    result that has no such column.
+    With ``ds`` the job replaces that day, up to ``ds_to`` when given: days without
+    results become empty, results of other days are an error. Without it the days in
+    the result are replaced. ``participants`` restricts every source to a cohort. A
+    single ``ds`` is stamped on a result that has no such column.
     """
+    if ds is None and ds_to is not None:
+        raise ValueError("ds_to needs a first day")
+    runs = None if ds is None else RunDates.of(ds, ds_to)
     if participants is not None:
         sources = {name: cohort(df, participants, participant_key) for name, df in sources.items()}
     result = transform(**sources)
-    if ds is not None and "ds" not in result.columns:
-        result = result.select(run_date(ds), "*")
-    write_partition(conform(result, schema), table)
+    if runs is not None and "ds" not in result.columns:
+        if runs.single is None:
+            raise ValueError("a range of days needs a result with a ds column")
+        result = result.select(run_date(runs.single), "*")
+    write_partition(conform(result, schema), table, days=runs)

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from collections.abc import Iterable, Sequence
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from pulsewright.functions.rundates import RunDates
 from pulsewright.functions.timeops import parse_day
 from pulsewright.sources.scans import CSV_TIMES
 
 RANGE_COLUMN = "range_start"
 
+# Folder name of a null partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+Days = str | date | RunDates | Iterable[str | date]
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     """One CSV file per partition, each with a header."""
@@ -32,20 +39,73 @@ def write_json(df: DataFrame, path: str, ds: str | date | None = None, now: date
     stamped.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_partition(df: DataFrame, path: str, partition: str = "ds", sort: tuple[str, ...] = ()) -> None:
-    """Replace exactly the daily partitions present in ``df``.
+def named_days(days: Days) -> list[date]:
+    """A run date, several, or a closed range of them as a list."""
+    if isinstance(days, RunDates):
+        if days.first is None or days.last is None:
+            raise ValueError("a range of days to replace needs both ends")
+        return [days.first + timedelta(days=i) for i in range((days.last - days.first).days + 1)]
+    if isinstance(days, (str, date)):
+        days = [days]
+    return sorted({parse_day(d) for d in days})
+
+
+def _among(value: Column, named: Sequence) -> Column:
+    """Whether a partition value is one of the named ones; None names null."""
+    found = F.coalesce(value.isin([v for v in named if v is not None]), F.lit(False))
+    return found | value.isNull() if None in named else found
 
-    Re-running a day leaves one copy of it and touches no other day. ``sort``
-    orders rows inside the files.
+
+def _replace(df: DataFrame, path: str, partition: str, sort: Sequence[str], named: Sequence | None) -> None:
+    """Overwrite partitions: the ones present in ``df``, or exactly the ``named`` ones.
+
+    The mode is stated, so that no session setting decides what is replaced. Which
+    named values got rows is observed while they are written. Of the others, those that
+    hold rows from an earlier write are overwritten with none.
     """
-    if sort:
-        df = df.sortWithinPartitions(partition, *sort)
+    seen = Observation()
+    if named is not None:
+        value = F.col(partition)
+        other = F.concat(F.lit(f"not among the partitions to replace: {partition} "), F.coalesce(value.cast("string"), F.lit("null")))
+        checked = F.when(_among(value, named), value).otherwise(F.raise_error(other).cast(df.schema[partition].dataType))
+        # Bounded by the named values.
+        df = df.withColumn(partition, checked).observe(
+            seen, F.collect_set(partition).alias("values"), F.count_if(value.isNull()).alias("nulls")
+        )
+    placed = df.sortWithinPartitions(partition, *sort) if sort else df
     (
-        df.write.mode("overwrite")
+        placed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    if named is None:
+        return
+    written = {*seen.get["values"], *([None] if seen.get["nulls"] else [])}
+    empty = [v for v in named if v not in written]
+    if not empty:
+        return
+    held = df.sparkSession.read.schema(df.schema).parquet(path).select(partition)
+    stale = held.filter(_among(F.col(partition), empty)).distinct()
+    # At most the named values; partitions are listed, no column is read.
+    none = df.sparkSession.createDataFrame([], df.drop(partition).schema)
+    for (value,) in stale.collect():
+        folder = NULL_FOLDER if value is None else value
+        none.write.mode("overwrite").parquet(f"{path}/{partition}={folder}")
+
+
+def write_partition(
+    df: DataFrame, path: str, partition: str = "ds", sort: Sequence[str] = (), days: Days | None = None
+) -> None:
+    """Replace daily partitions; re-running a day leaves one copy of it and touches no other day.
+
+    ``days`` names what the run replaces: one run date, several, or a closed range. A
+    named day without rows in ``df`` is emptied, and a row of any other day fails the
+    write before anything is replaced. Without ``days`` the days present in ``df`` are
+    replaced, so a day that has become empty keeps its earlier rows. ``sort`` orders
+    rows inside the files.
+    """
+    _replace(df, path, partition, sort, None if days is None else named_days(days))
 
 
 def range_start(value: Column, start: int, interval: int, end: int) -> Column:
@@ -54,13 +114,25 @@ def range_start(value: Column, start: int, interval: int, end: int) -> Column:
     return F.when(inside, F.lit(start) + F.floor((value - start) / F.lit(interval)) * interval)
 
 
+def range_starts(start: int, interval: int, end: int) -> list[int]:
+    """Lower bounds of all ranges of [start, end)."""
+    return list(range(start, end, interval))
+
+
 def write_range_partitioned(
-    df: DataFrame, path: str, field: str, start: int, interval: int, end: int
+    df: DataFrame, path: str, field: str, start: int, interval: int, end: int, ranges: Sequence[int | None] | None = None
 ) -> None:
-    """Partition by integer ranges; values outside share the null partition."""
-    (
-        df.withColumn(RANGE_COLUMN, range_start(F.col(field), start, interval, end))
-        .write.mode("overwrite")
-        .partitionBy(RANGE_COLUMN)
-        .parquet(path)
-    )
+    """Partition by integer ranges; values outside share the null partition.
+
+    The table is replaced as a whole. With ``ranges`` (lower bounds, None for the values
+    outside) just those are: named ones without rows become empty, and a row of another
+    range fails the write. The session's overwrite mode plays no part.
+    """
+    placed = df.withColumn(RANGE_COLUMN, range_start(F.col(field), start, interval, end))
+    if ranges is not None:
+        unknown = set(ranges) - {*range_starts(start, interval, end), None}
+        if unknown:
+            raise ValueError(f"no range starts at {sorted(unknown)}")
+        _replace(placed, path, RANGE_COLUMN, (), list(ranges))
+        return
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(RANGE_COLUMN).parquet(path)

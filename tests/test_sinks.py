@@ -8,6 +8,7 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsewright.functions.rundates import RunDates
 from pulsewright.plans.job import run_job
 from pulsewright.plans.publish import publish, send
 from pulsewright.session import scratch_path
@@ -50,6 +51,77 @@ def test_rerun_replaces_its_days_only(spark, rows, tmp_path):
     assert got == [(1, "2024-01-01", 9.0), (2, "2024-01-01", 9.0), (3, "2024-01-02", 2.5)]
 
 
+@pytest.fixture(params=["static", "dynamic"])
+def overwrite_mode(spark, request):
+    """Either session setting; none may decide what a write replaces."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, request.param)
+    yield request.param
+    spark.conf.set(key, old)
+
+
+def held(spark, path, *columns):
+    return sorted(map(tuple, spark.read.parquet(path).select(*columns).collect()), key=str)
+
+
+def test_named_day_without_rows_is_emptied(spark, rows, overwrite_mode, tmp_path):
+    path = str(tmp_path / "p")
+    write_partition(rows, path)
+    again = rows.filter("ds = '2024-01-02'").withColumn("v", F.lit(7.0))
+    write_partition(again, path, days=["2024-01-01", "2024-01-02", "2024-01-09"])
+    assert held(spark, path, "pim_id", "v") == [(3, 7.0)]
+    # Nothing at all: the named day goes, the other one stays.
+    write_partition(rows, path)
+    write_partition(rows.limit(0), path, days="2024-01-02")
+    assert held(spark, path, "pim_id") == [(1,), (2,)]
+    write_partition(rows.limit(0), path, days=RunDates.of("2023-12-30", "2024-01-01"))
+    assert held(spark, path, "pim_id") == []
+    write_partition(rows, path, days=RunDates.of("2024-01-01", "2024-01-02"))
+    assert held(spark, path, "pim_id") == [(1,), (2,), (3,)]
+
+
+def test_first_write_of_an_empty_day(spark, rows, tmp_path):
+    path = str(tmp_path / "p")
+    write_partition(rows.limit(0), path, days="2024-01-02")
+    assert spark.read.schema(rows.schema).parquet(path).count() == 0
+
+
+def test_rows_of_other_days_fail_before_anything_is_replaced(spark, rows, tmp_path):
+    path = str(tmp_path / "p")
+    write_partition(rows, path)
+    with pytest.raises(SparkRuntimeException, match="ds 2024-01-02"):
+        write_partition(rows.withColumn("v", F.lit(0.0)), path, days="2024-01-01")
+    nameless = rows.withColumn("ds", F.lit(None).cast("date"))
+    with pytest.raises(SparkRuntimeException, match="ds null"):
+        write_partition(nameless, path, days="2024-01-01")
+    assert sorted(r.v or 0 for r in spark.read.parquet(path).collect()) == [0, 1.5, 2.5]
+    with pytest.raises(ValueError, match="both ends"):
+        write_partition(rows, path, days=RunDates())
+
+
+def test_range_write_replaces_the_table_under_either_setting(spark, overwrite_mode, tmp_path):
+    path = str(tmp_path / "r")
+    whole = spark.createDataFrame([(v, "a") for v in (-1, 0, 4, 5, 9)], "insulin int, v string")
+    write_range_partitioned(whole, path, "insulin", 0, 5, 10)
+    write_range_partitioned(whole.filter("insulin = 4"), path, "insulin", 0, 5, 10)
+    assert held(spark, path, "insulin") == [(4,)]
+
+
+def test_named_ranges(spark, overwrite_mode, tmp_path):
+    path = str(tmp_path / "r")
+    whole = spark.createDataFrame([(v, "a") for v in (-1, 0, 4, 5, 9)], "insulin int, v string")
+    write_range_partitioned(whole, path, "insulin", 0, 5, 10)
+    some = whole.filter("insulin = 4").withColumn("v", F.lit("b"))
+    write_range_partitioned(some, path, "insulin", 0, 5, 10, ranges=[0, None])
+    assert held(spark, path, "insulin", "v") == [(4, "b"), (5, "a"), (9, "a")]
+    with pytest.raises(ValueError, match="no range starts at"):
+        write_range_partitioned(some, path, "insulin", 0, 5, 10, ranges=[3])
+    with pytest.raises(SparkRuntimeException, match="range_start 5"):
+        write_range_partitioned(whole, path, "insulin", 0, 5, 10, ranges=[0, None])
+    assert held(spark, path, "insulin", "v") == [(4, "b"), (5, "a"), (9, "a")]
+
+
 def test_range_partitions_with_overflow(spark, tmp_path):
     frame = spark.createDataFrame([(v,) for v in (-1, 0, 4, 5, 9, 10, None)], "insulin int")
     write_range_partitioned(frame, str(tmp_path / "r"), "insulin", 0, 5, 10)
@@ -107,6 +179,21 @@ def test_job(spark, rows, tmp_path):
     assert got == [(1, date(2024, 2, 1)), (3, date(2024, 2, 1))]
 
 
+def test_job_empties_its_days(spark, rows, tmp_path):
+    table = str(tmp_path / "t")
+    schema = [field("ds", "DATE"), field("pim_id", "INTEGER"), *floats(["v"])]
+    run_job({"a": rows}, lambda a: a, schema, table, "2024-01-01", ds_to="2024-01-02")
+    assert held(spark, table, "pim_id") == [(1,), (2,), (3,)]
+    run_job({"a": rows}, lambda a: a.filter("pim_id > 2"), schema, table, "2024-01-01", ds_to="2024-01-02")
+    assert held(spark, table, "pim_id") == [(3,)]
+    run_job({"a": rows}, lambda a: a.filter("pim_id > 5").drop("ds"), schema, table, "2024-01-02")
+    assert held(spark, table, "pim_id") == []
+    with pytest.raises(SparkRuntimeException, match="not among the partitions"):
+        run_job({"a": rows}, lambda a: a, schema, table, "2024-01-01")
+    with pytest.raises(ValueError, match="ds column"):
+        run_job({"a": rows}, lambda a: a.drop("ds"), schema, table, "2024-01-01", ds_to="2024-01-02")
+
+
 def test_clean(spark):
     frame = spark.createDataFrame([("7", float("nan"))], "pim_id string, v double")
     row = clean(frame).first()
