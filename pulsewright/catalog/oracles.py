@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulsewright.catalog.queries import DAY_BEFORE, LAST_DAY, WIDTHS
+from pulsewright.catalog.queries import CORRECTED_DAY, DAY_BEFORE, LAST_DAY, WIDTHS
 from pulsewright.plans.hrv import BUCKET_COLUMNS, SHAPE_COLUMNS
 from pulsewright.plans.meals import METRICS
 from pulsewright.sources.adapters import FRACTIONAL_BPM, SESSION_BACK, STAGE_CASE, ZONES
@@ -471,6 +471,19 @@ def bpm_features(dedupe: bool, only: str | None = None) -> str:
     return with_(parts, rounded(f"select ds, pim_id, {cols} from periods group by ds, pim_id", doubles))
 
 
+def corrected(sql: str) -> str:
+    """The same with a stricter validity cut on one day."""
+    cut = lambda day: f"case when {day} = date '{CORRECTED_DAY}' then 100 else 40 end"
+    for col, day in (
+        ("where bpm", "cast(heart_rate_datetime_loc as date)"),
+        ("where resting_heart_rate", "resting_heart_heart_date_loc"),
+        ("where min_bpm", "heart_rate_date_loc"),
+        ("and max_bpm", "heart_rate_date_loc"),
+    ):
+        sql = sql.replace(f"{col} >= 40", f"{col} >= {cut(day)}")
+    return sql
+
+
 # --- meals -------------------------------------------------------------------
 
 MEASURES = {
@@ -658,6 +671,9 @@ def all_oracles() -> dict[str, str]:
         "bpm_features_nodedupe": bpm_features(False),
         "bpm_features_fractional": fractional(bpm_features(True)),
         "bpm_features_fractional_nodedupe": fractional(bpm_features(False)),
+        "bpm_features_incremental": bpm_features(True, LAST_DAY),
+        "bpm_features_corrected": corrected(bpm_features(True)),
+        "bpm_features_fractional_incremental": fractional(bpm_features(True)),
         "nan_readings": fractional(scans()["daily_bpm_stats"]),
         "skipped_run_dates": skipped_run_dates(),
         **meals(),

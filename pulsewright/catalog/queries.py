@@ -35,6 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The latest run date of the sample tables, for the forms that take a single one.
 LAST_DAY = "2024-01-30"
 DAY_BEFORE = "2024-01-29"
+CORRECTED_DAY = "2024-01-17"
 BATCH_TIME = datetime(2024, 2, 1, 12, 0, 0)
 WIDTHS = (1, 3, 6, 12)
 
@@ -470,6 +471,35 @@ def bpm_features_backfill(t: SensorTables) -> DataFrame:
     return _bpm_features(t)
 
 
+def _stored_days(t: SensorTables, spark: SparkSession, hr: DataFrame) -> str:
+    """Daily rows of the history up to the day before the last, then the last day merged in."""
+    path = scratch_path(spark, "bpm-days")
+    bpm.store_bpm_days(hr, t.resting_heart_rate, t.heart_rate_zones, path, ds_to=DAY_BEFORE)
+    bpm.store_bpm_days(hr, t.resting_heart_rate, t.heart_rate_zones, path, LAST_DAY)
+    return path
+
+
+@query
+def bpm_features_incremental(t: SensorTables, spark: SparkSession) -> DataFrame:
+    """Features of the last day from stored daily rows: a day's run reads the readings of that day only."""
+    stored = spark.read.parquet(_stored_days(t, spark, t.heart_rate))
+    return bpm.flat_bpm_features(bpm.features_of_days(stored, LAST_DAY))
+
+
+@query
+def bpm_features_corrected(t: SensorTables, spark: SparkSession) -> DataFrame:
+    """All run dates from stored daily rows, one day of which is stored again with a stricter cut."""
+    path = _stored_days(t, spark, t.heart_rate)
+    bpm.store_bpm_days(t.heart_rate, t.resting_heart_rate, t.heart_rate_zones, path, CORRECTED_DAY, min_bpm=100)
+    return bpm.flat_bpm_features(bpm.features_of_days(spark.read.parquet(path)))
+
+
+@query
+def bpm_features_fractional_incremental(t: SensorTables, spark: SparkSession) -> DataFrame:
+    stored = spark.read.parquet(_stored_days(t, spark, t.heart_rate_fractional))
+    return bpm.flat_bpm_features(bpm.features_of_days(stored))
+
+
 @query
 def bpm_features_nodedupe(t: SensorTables) -> DataFrame:
     return _bpm_features(t, dedupe=False)

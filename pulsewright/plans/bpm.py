@@ -13,6 +13,7 @@ from pulsewright.functions.rundates import RunDates
 from pulsewright.functions.stats import BPM_METRICS, exact_variance_pop, merged_variance, moments
 from pulsewright.operators.heartbeat import TS
 from pulsewright.operators.relational import aggregate_table, flatten, require_rows, valid_bpm
+from pulsewright.sinks.files import write_partition
 from pulsewright.sources.scans import zone_name
 from pulsewright.sources.schemas import PERIODS, ZONE_NAMES
 
@@ -114,16 +115,19 @@ def _period(n: int, whole: bool) -> Column:
     return F.struct(*[c.alias(name) for name, c in fields.items()]).alias(f"period_{n}d")
 
 
-def _spine(
+def _daily_rows(
     hr: DataFrame, rest: DataFrame, zones: DataFrame, runs: RunDates, back: int, dedupe: bool, min_bpm: int
-) -> tuple[DataFrame, DataFrame]:
-    """Daily rows dealt to the run dates they serve, and the run dates with readings on the day."""
+) -> DataFrame:
+    """Daily rows of all days that the run dates look at."""
     readings = runs.scan(valid_bpm(hr, min_bpm=min_bpm), TS, back=back).filter(F.col(PIM).isNotNull())
     resting = runs.scan(valid_bpm(rest, "resting_heart_rate", min_bpm), "resting_heart_heart_date_loc", back=back)
     bounds = valid_bpm(valid_bpm(zones, "min_bpm", min_bpm), "max_bpm", min_bpm)
     bounds = runs.scan(bounds, "heart_rate_date_loc", back=back)
+    return _days(readings, resting, bounds, dedupe)
+
 
-    days = _days(readings, resting, bounds, dedupe)
+def _spine(days: DataFrame, runs: RunDates, back: int) -> tuple[DataFrame, DataFrame]:
+    """Daily rows dealt to the run dates they serve, and the run dates with readings on the day."""
     offsets = F.array(*[F.lit(k) for k in range(back + 1)])
     spine = days.withColumn("offset", F.explode(offsets)).withColumn("ds", F.date_add("day", F.col("offset")))
     # Taken from the daily rows, whose shuffle of readings serves both uses.
@@ -131,6 +135,60 @@ def _spine(
     return runs.clip(spine), with_readings
 
 
+def bpm_days(
+    hr: DataFrame,
+    rest: DataFrame,
+    zones: DataFrame,
+    ds: Day = None,
+    ds_to: Day = None,
+    dedupe: bool = True,
+    min_bpm: int = 40,
+) -> DataFrame:
+    """One row per participant and ``day``, from which features of any period can be merged.
+
+    Counts, sums and sums of squares of the day's rates (of whole rates exactly), resting
+    rate and zone bounds. Only readings of the days from ``ds`` to ``ds_to`` are read.
+    """
+    rows = _daily_rows(hr, rest, zones, RunDates.of(ds, ds_to), 0, dedupe, min_bpm)
+    return rows.filter(F.col("day").isNotNull())
+
+
+def store_bpm_days(
+    hr: DataFrame,
+    rest: DataFrame,
+    zones: DataFrame,
+    path: str,
+    ds: Day = None,
+    ds_to: Day = None,
+    dedupe: bool = True,
+    min_bpm: int = 40,
+) -> None:
+    """Write or rewrite the daily rows of the given days below ``path``; other days stay as they are.
+
+    A daily run stores its own day, a late correction the day it concerns. A named day
+    without data becomes empty. Without days the whole history is stored.
+    """
+    runs = RunDates.of(ds, ds_to)
+    days = runs if runs.first is not None and runs.last is not None else None
+    write_partition(bpm_days(hr, rest, zones, ds, ds_to, dedupe, min_bpm), path, "day", days=days)
+
+
+def features_of_days(days: DataFrame, ds: Day = None, ds_to: Day = None, periods: Sequence[int] = PERIODS) -> DataFrame:
+    """``bpm_features`` from daily rows, stored or not; each run date reads the days of its longest period.
+
+    With ``days`` read from a table partitioned by day, only those partitions are
+    listed and no reading is looked at again.
+    """
+    runs, back = RunDates.of(ds, ds_to), max(periods) - 1
+    spine, with_readings = _spine(runs.scan(days, "day", back=back), runs, back)
+    features = spine.groupBy("ds", PIM).agg(*[_period(n, "bpm_squares" in days.columns) for n in periods])
+    if runs.single is not None:
+        require_rows(with_readings, f"No data collected for {runs.single}.")
+        return features
+    # One row per calendar day, however large the readings: safe to broadcast.
+    return features.join(F.broadcast(with_readings), "ds", "left_semi")
+
+
 def bpm_features(
     hr: DataFrame,
     rest: DataFrame,
@@ -151,14 +209,8 @@ def bpm_features(
     A single run date without readings on the day itself raises. In a range,
     such run dates are left out; ``skipped_run_dates`` lists them.
     """
-    runs = RunDates.of(ds, ds_to)
-    spine, with_readings = _spine(hr, rest, zones, runs, max(periods) - 1, dedupe, min_bpm)
-    features = spine.groupBy("ds", PIM).agg(*[_period(n, _whole(hr)) for n in periods])
-    if runs.single is not None:
-        require_rows(with_readings, f"No data collected for {runs.single}.")
-        return features
-    # One row per calendar day, however large the readings: safe to broadcast.
-    return features.join(F.broadcast(with_readings), "ds", "left_semi")
+    days = _daily_rows(hr, rest, zones, RunDates.of(ds, ds_to), max(periods) - 1, dedupe, min_bpm)
+    return features_of_days(days, ds, ds_to, periods)
 
 
 def skipped_run_dates(
@@ -174,7 +226,8 @@ def skipped_run_dates(
 
     They have data in their longest period, but no readings on the day itself.
     """
-    spine, with_readings = _spine(hr, rest, zones, RunDates.of(ds, ds_to), max(periods) - 1, True, min_bpm)
+    runs, back = RunDates.of(ds, ds_to), max(periods) - 1
+    spine, with_readings = _spine(_daily_rows(hr, rest, zones, runs, back, True, min_bpm), runs, back)
     left = spine.select("ds", PIM).distinct().join(F.broadcast(with_readings), "ds", "left_anti")
     return left.groupBy("ds").agg(F.count(F.lit(1)).alias("participants"))
 

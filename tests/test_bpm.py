@@ -5,7 +5,16 @@ import json
 import numpy as np
 import pytest
 
-from pulsewright.plans.bpm import bpm_features, daily_bpm_stats, flat_bpm_features, skipped_run_dates
+from pulsewright.catalog.queries import rounded
+from pulsewright.plans.bpm import (
+    bpm_days,
+    bpm_features,
+    daily_bpm_stats,
+    features_of_days,
+    flat_bpm_features,
+    skipped_run_dates,
+    store_bpm_days,
+)
 from pulsewright.sinks.conform import conform
 from pulsewright.sources.scans import scan_bpm, scan_zones
 from pulsewright.sources.schemas import BPM_FEATURES
@@ -140,3 +149,49 @@ def test_fractional_rates_keep_their_fractions(make, tables, dedupe):
     assert one.mean_bpm == pytest.approx(np.mean(day)) and one.sd_bpm == pytest.approx(np.std(day))
     assert week.mean_bpm == pytest.approx(np.mean([*day, 100.5])) and week.sd_bpm == pytest.approx(np.std([*day, 100.5]))
     assert made[8].period_7d.sd_bpm == pytest.approx(0.0, abs=1e-9)
+
+
+def same_rows(a, b):
+    """Equal up to the order in which doubles are summed."""
+    a, b = (rounded(flat_bpm_features(f)) for f in (a, b))
+    return sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+def test_stored_days_give_the_features_of_a_full_run(spark, tables, tmp_path, dedupe):
+    path = str(tmp_path / "days")
+    store_bpm_days(*tables, path, ds_to="2019-10-25", dedupe=dedupe)
+    store_bpm_days(*tables, path, "2019-10-26", DS, dedupe=dedupe)
+    stored = spark.read.parquet(path)
+    assert same_rows(features_of_days(stored, DS), bpm_features(*tables, DS, dedupe=dedupe))
+    assert same_rows(features_of_days(stored), bpm_features(*tables, dedupe=dedupe))
+    assert same_rows(features_of_days(stored, "2019-10-23", DS), bpm_features(*tables, "2019-10-23", DS, dedupe=dedupe))
+
+
+def test_a_day_is_corrected_and_emptied(spark, tables, tmp_path):
+    hr, rest, zones = tables
+    path = str(tmp_path / "days")
+    store_bpm_days(*tables, path)
+    # One rate of the run date was wrong, and the readings of another day are withdrawn.
+    right = hr.filter("bpm <> 62 and bpm <> 70")
+    store_bpm_days(right, rest, zones, path, DS)
+    store_bpm_days(right, rest, zones, path, "2019-10-24")
+    stored = spark.read.parquet(path)
+    assert same_rows(features_of_days(stored, DS), bpm_features(right, rest, zones, DS))
+    assert stored.filter("day = '2019-10-24'").isEmpty()
+
+
+def test_a_new_day_reads_that_day_only(spark, tables, tmp_path):
+    hr, rest, zones = tables
+    hr.write.parquet(str(tmp_path / "hr"))
+    stored_hr = spark.read.parquet(str(tmp_path / "hr"))
+    formatted = lambda df: spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    text = formatted(bpm_days(stored_hr, rest, zones, DS))
+    assert "GreaterThanOrEqual(heart_rate_datetime_loc,2019-11-01" in text and "LessThan(heart_rate_datetime_loc,2019-11-02" in text
+
+    path = str(tmp_path / "days")
+    store_bpm_days(*tables, path)
+    text = formatted(features_of_days(spark.read.parquet(path), DS, DS))
+    scans = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+    assert scans and all("2019-10-19" in line and "2019-11-01" in line for line in scans)
+    assert "days" in text and "heart_rate_datetime_loc" not in text
