@@ -484,6 +484,14 @@ def corrected(sql: str) -> str:
     return sql
 
 
+def squeezed(sql: str) -> str:
+    """The same over readings pressed into the first five minutes of their day."""
+    day = 86_400_000_000
+    pressed = f"make_timestamp(epoch_us(ts) - epoch_us(ts) % {day} + epoch_us(ts) % {day} // 288)"
+    readings = TABLES["heart_rate"]
+    return sql.replace(readings, readings.replace("ts as", f"{pressed} as"))
+
+
 # --- meals -------------------------------------------------------------------
 
 MEASURES = {
@@ -671,6 +679,7 @@ def all_oracles() -> dict[str, str]:
         "bpm_features_nodedupe": bpm_features(False),
         "bpm_features_fractional": fractional(bpm_features(True)),
         "bpm_features_fractional_nodedupe": fractional(bpm_features(False)),
+        **{f"dense_{n.removeprefix('consecutive_')}": squeezed(hrv()[n]) for n in ("consecutive_beats", "hrv_daily", "hrv_5min")},
         "bpm_features_incremental": bpm_features(True, LAST_DAY),
         "bpm_features_corrected": corrected(bpm_features(True)),
         "bpm_features_fractional_incremental": fractional(bpm_features(True)),

@@ -259,6 +259,36 @@ def consecutive_beats(t: SensorTables) -> DataFrame:
     return consecutive_readings(t.heart_rate).select("pim_id", "date", "heart_rate_datetime_loc", "bpm", "prev_bpm", "avg_rr")
 
 
+def _squeezed(hr: DataFrame) -> DataFrame:
+    """Readings with each day pressed into its first five minutes, so that a slice holds a whole day."""
+    micros, day = F.unix_micros(F.col(TS).cast("timestamp")), F.lit(86_400_000_000)
+    into = F.floor((micros % day) / 288)
+    return hr.withColumn(TS, F.timestamp_micros(micros - micros % day + into).cast("timestamp_ntz"))
+
+
+def _cut(hr: DataFrame) -> DataFrame:
+    return heartbeat.dense_cuts(hr, largest=1)
+
+
+@query
+def dense_beats(t: SensorTables) -> DataFrame:
+    hr = _squeezed(t.heart_rate)
+    beats = consecutive_readings(hr, dense=_cut(hr))
+    return beats.select("pim_id", "date", "heart_rate_datetime_loc", "bpm", "prev_bpm", "avg_rr")
+
+
+@query
+def dense_hrv_daily(t: SensorTables) -> DataFrame:
+    hr = _squeezed(t.heart_rate)
+    return hrv.hrv_daily(hr, dense=_cut(hr))
+
+
+@query
+def dense_hrv_5min(t: SensorTables) -> DataFrame:
+    hr = _squeezed(t.heart_rate)
+    return hrv.hrv_5min(hr, dense=_cut(hr))
+
+
 @query
 def rmssd_poincare(t: SensorTables) -> DataFrame:
     b, p = F.col("bpm"), F.col("prev_bpm")

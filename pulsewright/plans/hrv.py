@@ -5,6 +5,9 @@ else. The moments table has a bounded number of rows per participant and day
 (24 hours times a few dozen bins), is placed once by (participant, day), and
 yields statistics and histograms of every bucket width without another shuffle
 of readings.
+
+``dense`` takes ``operators.heartbeat.dense_cuts`` of the readings, for data that is
+crowded into single five-minute slices; results are the same.
 """
 
 from __future__ import annotations
@@ -154,13 +157,13 @@ def _seconds(hours: Sequence[int]) -> list[int]:
     return [h * 3600 for h in hours]
 
 
-def nn_histogram(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40) -> DataFrame:
+def nn_histogram(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40, dense: DataFrame | None = None) -> DataFrame:
     """Beat-interval histogram per bucket: bin number and frequency.
 
     Hourly counts come first; wider buckets add those up.
     """
     hourly = (
-        consecutive_readings(hr, min_bpm)
+        consecutive_readings(hr, min_bpm, dense)
         .withColumn("hour", bucket_seconds(F.col("slice"), 3600))
         .groupBy(PIM, "date", "hour", interval_bin(F.col("bpm")).alias("bin"))
         .agg(F.count(F.lit(1)).alias("frequency"))
@@ -172,20 +175,20 @@ def nn_histogram(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40) -> Data
     )
 
 
-def nn_modes(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40) -> DataFrame:
+def nn_modes(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40, dense: DataFrame | None = None) -> DataFrame:
     """Most frequent bins of each bucket's histogram, ties kept."""
-    return mode_rows(nn_histogram(hr, hours, min_bpm), BUCKET)
+    return mode_rows(nn_histogram(hr, hours, min_bpm, dense), BUCKET)
 
 
-def tinn_features(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40) -> DataFrame:
+def tinn_features(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40, dense: DataFrame | None = None) -> DataFrame:
     """tinn, rrtri and the number of tied modes per bucket."""
-    return tinn_rrtri(nn_histogram(hr, hours, min_bpm), BUCKET)
+    return tinn_rrtri(nn_histogram(hr, hours, min_bpm, dense), BUCKET)
 
 
-def sdann(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40) -> DataFrame:
+def sdann(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40, dense: DataFrame | None = None) -> DataFrame:
     """Spread of the five-minute mean intervals inside each bucket."""
     slices = (
-        consecutive_readings(hr, min_bpm)
+        consecutive_readings(hr, min_bpm, dense)
         .groupBy(PIM, "date", "slice")
         .agg(F.avg(beat_interval(F.col("bpm"))).alias("slice_mean"))
     )
@@ -196,9 +199,9 @@ def sdann(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40) -> DataFrame:
     )
 
 
-def poincare_features(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40) -> DataFrame:
+def poincare_features(hr: DataFrame, hours: Sequence[int], min_bpm: int = 40, dense: DataFrame | None = None) -> DataFrame:
     """Rate, interval and Poincare statistics per bucket."""
-    features = _bucket_features(interval_moments(consecutive_readings(hr, min_bpm)), _seconds(hours))
+    features = _bucket_features(interval_moments(consecutive_readings(hr, min_bpm, dense)), _seconds(hours))
     return features.drop("tinn", "rrtri", "modes", "sdann", "mean_rmssd", "mean_sdrr")
 
 
@@ -221,7 +224,12 @@ def _bucket_rows(features: DataFrame) -> DataFrame:
 
 
 def hrv_x_hour(
-    hr: DataFrame, ds: Day = None, ds_to: Day = None, hours: Sequence[int] = (1, 3, 6, 12), min_bpm: int = 40
+    hr: DataFrame,
+    ds: Day = None,
+    ds_to: Day = None,
+    hours: Sequence[int] = (1, 3, 6, 12),
+    min_bpm: int = 40,
+    dense: DataFrame | None = None,
 ) -> DataFrame:
     """Features of the day before the run date, one row per bucket (20 columns).
 
@@ -229,11 +237,13 @@ def hrv_x_hour(
     yields that many equal rows.
     """
     scanned = RunDates.of(ds, ds_to).scan(hr, TS, lag=1)
-    base = interval_moments(consecutive_readings(scanned, min_bpm))
+    base = interval_moments(consecutive_readings(scanned, min_bpm, dense))
     return _bucket_rows(_bucket_features(base, _seconds(hours)))
 
 
-def hrv_bucket(hr: DataFrame, ds: Day = None, ds_to: Day = None, hours: int = 1, min_bpm: int = 40) -> DataFrame:
+def hrv_bucket(
+    hr: DataFrame, ds: Day = None, ds_to: Day = None, hours: int = 1, min_bpm: int = 40, dense: DataFrame | None = None
+) -> DataFrame:
     """Features of the run date itself for one bucket width.
 
     Widths below a day carry no ``ds`` column. The 24-hour form has ``ds``,
@@ -241,7 +251,7 @@ def hrv_bucket(hr: DataFrame, ds: Day = None, ds_to: Day = None, hours: int = 1,
     """
     scanned = RunDates.of(ds, ds_to).scan(hr, TS)
     width = hours * 3600
-    features = _bucket_features(interval_moments(consecutive_readings(scanned, min_bpm), width), [width])
+    features = _bucket_features(interval_moments(consecutive_readings(scanned, min_bpm, dense), width), [width])
     if hours == DAY_HOURS:
         return _one_row_per_mode(features).select(
             F.col("date").alias("ds"), F.col(PIM).alias("participantid"), *SHAPE_COLUMNS
@@ -250,7 +260,12 @@ def hrv_bucket(hr: DataFrame, ds: Day = None, ds_to: Day = None, hours: int = 1,
 
 
 def hrv_daily(
-    hr: DataFrame, ds: Day = None, ds_to: Day = None, strict: bool = True, min_bpm: int = 40
+    hr: DataFrame,
+    ds: Day = None,
+    ds_to: Day = None,
+    strict: bool = True,
+    min_bpm: int = 40,
+    dense: DataFrame | None = None,
 ) -> DataFrame:
     """Daily features: means of five-minute statistics next to 24-hour ones.
 
@@ -261,7 +276,7 @@ def hrv_daily(
     """
     scanned = RunDates.of(ds, ds_to).scan(hr, TS)
     width = DAY_HOURS * 3600
-    day = _bucket_features(interval_moments(consecutive_readings(scanned, min_bpm), width), [width])
+    day = _bucket_features(interval_moments(consecutive_readings(scanned, min_bpm, dense), width), [width])
     output = {"geom_poincare_sd2": "eom_poincare_sd2"} if strict else {}
     return day.select(
         F.col("date").alias("ds"),
@@ -272,13 +287,15 @@ def hrv_daily(
     )
 
 
-def hrv_5min(hr: DataFrame, ds: Day = None, ds_to: Day = None, min_bpm: int = 40) -> DataFrame:
+def hrv_5min(
+    hr: DataFrame, ds: Day = None, ds_to: Day = None, min_bpm: int = 40, dense: DataFrame | None = None
+) -> DataFrame:
     """Five-minute stage over all stored pairs; repeated readings count each time.
 
     The spread is summed around a value of the slice itself, which keeps a
     constant slice at exactly zero.
     """
-    rows = weighted_readings(RunDates.of(ds, ds_to).scan(hr, TS), min_bpm).filter(F.col("prev_bpm").isNotNull())
+    rows = weighted_readings(RunDates.of(ds, ds_to).scan(hr, TS), min_bpm, dense).filter(F.col("prev_bpm").isNotNull())
     w, bpm, rr = F.col("weight"), F.col("bpm"), beat_interval(F.col("bpm"))
     off = rr - beat_interval(F.col("slice_last_bpm"))
     step = rr - beat_interval(F.col("prev_bpm"))
