@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsewright.operators.quantiles import ALL, PRESENT, SLOT, TIMES, VALUE, folded_values, meet, present, quantiles_of, slot_edge
+from pulsewright.operators.quantiles import (
+    ALL,
+    PRESENT,
+    SLOT,
+    TIMES,
+    VALUE,
+    folded_values,
+    meet,
+    over_group,
+    present,
+    quantiles_of,
+    slot_edge,
+    to_slots,
+)
 
 
 def _slot_moments(folded: DataFrame, keys: list[str]) -> DataFrame:
@@ -17,7 +30,8 @@ def _slot_moments(folded: DataFrame, keys: list[str]) -> DataFrame:
     """
     off = F.col(VALUE) - slot_edge(F.col(SLOT))
     near = F.sum(F.col(TIMES) * off)
-    return folded.filter(F.col(TIMES) > 0).groupBy(*keys, SLOT).agg(
+    # Both counts stay in use for all readers of the folded values, which then share a shuffle.
+    return folded.filter((F.col(TIMES) > 0) & (F.col(PRESENT) >= 0)).groupBy(*keys, SLOT).agg(
         F.sum(TIMES).alias("rows"),
         F.nullif(F.sum(PRESENT), F.lit(0)).alias("_c"),
         F.sum(F.col(TIMES) * F.col(VALUE)).alias("_total"),
@@ -28,9 +42,8 @@ def _slot_moments(folded: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _summary(folded: DataFrame, keys: list[str]) -> DataFrame:
-    slots = _slot_moments(folded, keys)
-    group = Window.partitionBy(*keys)
-    mean = F.sum("_total").over(group) / F.sum("_c").over(group)
+    slots = over_group(_slot_moments(folded, keys), keys, {"_group_total": (F.sum, "_total"), "_group_c": (F.sum, "_c")})
+    mean = F.col("_group_total") / F.col("_group_c")
     gap = F.col("_total") / F.col("_c") - F.col("_mean")
     n, m2 = F.sum("_c"), F.sum("_m2")
     return (
@@ -72,8 +85,8 @@ def histogram(df: DataFrame, col: str, bins: int = 150, by: Sequence[str] = ())
     folded, keys = folded_values(df, col, by)
     values = present(folded)
     slots = values.groupBy(*keys, SLOT).agg(F.min(VALUE).alias("_min"), F.max(VALUE).alias("_max"))
-    group = Window.partitionBy(*keys)
-    low, high = F.min("_min").over(group), F.max("_max").over(group)
+    slots = over_group(slots, keys, {"_low": (F.min, "_min"), "_high": (F.max, "_max")})
+    low, high = F.col("_low"), F.col("_high")
     flat = low == high
     spans = slots.select(
         *keys,
@@ -123,18 +136,16 @@ def box_stats(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
     quartiles = quantiles_of(folded, keys, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     slots = values.groupBy(*keys, SLOT).agg(F.min(VALUE).alias("_min"), F.max(VALUE).alias("_max"))
-    group = Window.partitionBy(*keys)
+    reached = to_slots(slots, quartiles, keys).withColumns({"_from": F.col("q1") - reach, "_to": F.col("q3") + reach}).withColumns(
+        {
+            "_reaches_up": F.when(F.col("_max") >= F.col("_from"), F.col(SLOT)),
+            "_reaches_down": F.when(F.col("_min") <= F.col("_to"), F.col(SLOT)),
+        }
+    )
     ends = (
-        meet(slots, quartiles, keys)
-        .withColumns({"_from": F.col("q1") - reach, "_to": F.col("q3") + reach})
-        .withColumns(
-            {
-                "_first": F.min(F.when(F.col("_max") >= F.col("_from"), F.col(SLOT))).over(group),
-                "_last": F.max(F.when(F.col("_min") <= F.col("_to"), F.col(SLOT))).over(group),
-            }
-        )
+        over_group(reached, keys, {"_first": (F.min, "_reaches_up"), "_last": (F.max, "_reaches_down")})
         .filter((F.col(SLOT) == F.col("_first")) | (F.col(SLOT) == F.col("_last")))
-        .drop("_min", "_max")
+        .drop("_min", "_max", "_reaches_up", "_reaches_down")
     )
     v = F.col(VALUE)
     return (

@@ -2,13 +2,15 @@
 
 Open-source Spark has no range join: a BETWEEN condition next to an equality on
 the participant compares all pairs of that participant. Here both sides also
-meet on a time bucket and a salt. A point lies in exactly one bucket, an
-interval is listed in each bucket it touches, so a pair meets at most once and
-no pair is lost.
+meet on a time bucket. A point lies in exactly one bucket, an interval is listed in
+each bucket it touches, so a pair meets at most once and no pair is lost.
+
+Buckets with a large share of all points are measured while the job runs; only
+their points are dealt to salts, and only their intervals are copied to them.
 
 Where nothing bounds the length of an interval, buckets come in several widths.
 An interval uses the width that suits its length and is listed a few dozen times
-at most; a point is listed once per width.
+at most; a point is listed once for each width that some interval uses.
 """
 
 from __future__ import annotations
@@ -22,7 +24,12 @@ BUCKET = "_bucket"
 SALT = "_salt"
 
 DEFAULT_BUCKET_SECONDS = 600
-DEFAULT_SALTS = 4
+
+# Points above which a bucket is salted, as long as it is among the greatest ones, and
+# the salts of one bucket at most.
+LARGEST_BUCKET = 50_000
+MOST_HOT = 2000
+MOST_SALTS = 1000
 
 # Widths grow by this factor. From ten minutes six of them reach past 10,000 years.
 WIDTH_FACTOR = 48
@@ -30,27 +37,37 @@ WIDTHS = 6
 
 
 def bucket_points(
-    points: DataFrame,
-    at: str,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    salts: int = DEFAULT_SALTS,
-    spread: Column | None = None,
-    widths: int = 1,
+    points: DataFrame, at: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS, widths: Column | None = None
 ) -> DataFrame:
-    """Add the bucket and salt keys to the point side.
+    """Add the bucket to the point side.
 
-    ``spread`` is any expression that separates the rows of one hot bucket; by
-    default the point's own time. With several ``widths`` a point is listed once
-    for each.
+    With ``widths``, an array of width numbers, a point is listed once for each.
     """
-    spread = F.col(at) if spread is None else spread
-    keys = [_key(F.col(at), bucket_seconds, k) for k in range(widths)]
-    return points.withColumns(
-        {
-            BUCKET: F.explode(F.array(*keys)) if widths > 1 else keys[0],
-            SALT: F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"),
-        }
-    )
+    if widths is None:
+        return points.withColumn(BUCKET, _key(F.col(at), bucket_seconds, 0))
+    keys = [F.when(F.array_contains(widths, F.lit(k)), _key(F.col(at), bucket_seconds, k)) for k in range(WIDTHS)]
+    return points.withColumn(BUCKET, F.explode(F.array(*keys))).filter(F.col(BUCKET).isNotNull())
+
+
+def hot_buckets(points: DataFrame, key: str, largest: int = LARGEST_BUCKET, most: int = MOST_HOT) -> DataFrame:
+    """(key, bucket, ``_salts``) of the buckets with more than ``largest`` points, the ``most`` greatest of them.
+
+    A bucket that is left out holds less than one of ``most`` equal shares of all points.
+    So the table is small, however many points there are: safe to broadcast.
+    """
+    counts = points.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > largest).orderBy(F.desc("_n"), key, BUCKET).limit(most)
+    salts = F.least(F.ceil(F.col("_n") / largest), F.lit(MOST_SALTS).cast("long"))
+    return hot.select(F.col(key).alias("_hotkey"), F.col(BUCKET).alias("_hotbucket"), salts.alias("_salts"))
+
+
+def _salted(rows: DataFrame, hot: DataFrame, key: str, salt: Column) -> DataFrame:
+    on = (F.col(key) == F.col("_hotkey")) & (F.col(BUCKET) == F.col("_hotbucket"))
+    return rows.join(F.broadcast(hot), on, "left").withColumn(SALT, salt).drop("_hotkey", "_hotbucket", "_salts")
+
+
+def _salts() -> Column:
+    return F.coalesce("_salts", F.lit(1).cast("long"))
 
 
 def _key(ts: Column, bucket_seconds: int, k: int) -> Column:
@@ -58,31 +75,37 @@ def _key(ts: Column, bucket_seconds: int, k: int) -> Column:
     return F.floor(epoch_seconds(ts) / F.lit(bucket_seconds * WIDTH_FACTOR**k)) * 10 + k
 
 
+def _width(lo: Column, hi: Column, bucket_seconds: int) -> Column:
+    """Number of the narrowest width that lists an interval WIDTH_FACTOR + 1 times at most."""
+    length = epoch_seconds(hi) - epoch_seconds(lo)
+    width = F.lit(WIDTHS - 1)
+    for k in reversed(range(WIDTHS - 1)):
+        width = F.when(length <= bucket_seconds * WIDTH_FACTOR ** (k + 1), F.lit(k)).otherwise(width)
+    return width
+
+
+def used_widths(intervals: DataFrame, lo: Column, hi: Column, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
+    """The widths that some interval uses, as an array known when the job runs."""
+    used = intervals.filter(lo <= hi).agg(F.collect_set(_width(lo, hi, bucket_seconds))).scalar()
+    return F.coalesce(used, F.array().cast("array<int>"))
+
+
 def bucket_intervals(
-    intervals: DataFrame,
-    lo: Column,
-    hi: Column,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    salts: int = DEFAULT_SALTS,
-    widths: int = 1,
+    intervals: DataFrame, lo: Column, hi: Column, bucket_seconds: int = DEFAULT_BUCKET_SECONDS, widths: bool = False
 ) -> DataFrame:
-    """List each interval once per bucket it touches and per salt.
+    """List each interval once per bucket it touches.
 
     Intervals that end before they start, or lack an end, match nothing. With
-    several ``widths`` the narrowest one is used that lists the interval at most
-    WIDTH_FACTOR + 1 times.
+    ``widths`` each uses its own one, otherwise all use the narrowest.
     """
-    length = epoch_seconds(hi) - epoch_seconds(lo)
     step = F.lit(10).cast("long")
     listed = lambda k: F.sequence(_key(lo, bucket_seconds, k), _key(hi, bucket_seconds, k), step)
-    buckets = listed(widths - 1)
-    for k in reversed(range(widths - 1)):
-        buckets = F.when(length <= bucket_seconds * WIDTH_FACTOR ** (k + 1), listed(k)).otherwise(buckets)
-    return (
-        intervals.filter(lo <= hi)
-        .withColumn(BUCKET, F.explode(buckets))
-        .withColumn(SALT, F.explode(F.array(*[F.lit(s) for s in range(salts)])))
-    )
+    buckets = listed(0)
+    if widths:
+        own, buckets = _width(lo, hi, bucket_seconds), listed(WIDTHS - 1)
+        for k in range(WIDTHS - 1):
+            buckets = F.when(own == k, listed(k)).otherwise(buckets)
+    return intervals.filter(lo <= hi).withColumn(BUCKET, F.explode(buckets))
 
 
 def points_in_intervals(
@@ -94,30 +117,42 @@ def points_in_intervals(
     hi: str,
     how: str = "inner",
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    salts: int = DEFAULT_SALTS,
     clip: tuple[Column, Column] | None = None,
     spread: Column | None = None,
     condition: Column | None = None,
+    largest: int = LARGEST_BUCKET,
+    most: int = MOST_HOT,
 ) -> DataFrame:
     """Join points to the intervals that hold them, both ends included.
 
     Shared columns other than ``key`` are not allowed. ``clip`` narrows the
     bucket list of an interval to the span in which points can match at all,
     which bounds it whatever the interval's length; without it, buckets of
-    several widths do, and the join must be an inner one. ``condition`` is a
-    further test on the pair. The bucket and salt keys stay on the result so that
-    a following aggregation can include them and needs no new shuffle.
+    several widths do, and the join must be an inner one. ``spread`` is any expression that separates the points of one
+    hot bucket; by default their own time. ``condition`` is a further test on the pair.
+    The bucket and salt keys stay on the result so that a following aggregation can
+    include them and needs no new shuffle. For ``largest`` and ``most`` see ``hot_buckets``.
     """
     first, last = F.col(lo), F.col(hi)
     if clip is not None:
         first, last = F.greatest(first, clip[0]), F.least(last, clip[1])
-    elif how != "inner" or BUCKET in points.columns:
-        raise ValueError("without clip the join is an inner one over points without buckets")
-    widths = WIDTHS if clip is None else 1
-    left = points if BUCKET in points.columns else bucket_points(points, at, bucket_seconds, salts, spread, widths)
-    right = bucket_intervals(
-        intervals.filter(F.col(lo).isNotNull() & F.col(hi).isNotNull()), first, last, bucket_seconds, salts, widths
-    )
+    elif how != "inner":
+        raise ValueError("without clip the join is an inner one")
+    known = intervals.filter(F.col(lo).isNotNull() & F.col(hi).isNotNull())
+    if how == "inner":
+        # Stated here, as the join would add it to the points but not to their counts:
+        # both then read one shuffle of whatever came before.
+        points = points.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
+    widths = None if clip is not None else used_widths(known, first, last, bucket_seconds)
+    left = bucket_points(points, at, bucket_seconds, widths)
+    if how == "inner":
+        left = left.filter(F.col(BUCKET).isNotNull())
+    right = bucket_intervals(known, first, last, bucket_seconds, widths is not None)
+    hot = hot_buckets(left, key, largest, most)
+    spread = F.col(at) if spread is None else spread
+    left = _salted(left, hot, key, F.pmod(F.xxhash64(spread), _salts()))
+    # Copies are made for hot buckets only.
+    right = _salted(right, hot, key, F.explode(F.sequence(F.lit(0).cast("long"), _salts() - 1)))
     keys = [key, BUCKET, SALT]
     right = right.withColumnsRenamed({k: f"_iv{k}" for k in keys})
     on = F.col(at).between(F.col(lo), F.col(hi))

@@ -7,20 +7,25 @@ before the shuffle) show which slots hold the wanted ranks; inside those the
 same is done once more over the range their values really span. Only values of
 the slots that remain are sorted. Counts are exact, so the result is exact.
 
+A group can have some 700,000 slots. Their counts are summed up in two levels, inside
+strides of neighbouring slots and over strides, so no window holds them all.
+
 Slots need no facts of the group, so values meet facts on (group, slot) only,
 and one shuffle of folded values serves all steps.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOTS_PER_FACTOR = 1 << 9
 SUBSLOTS = 1 << 16
-VALUE, TIMES, PRESENT, SLOT, SUBSLOT = "_value", "_times", "_present", "_slot", "_subslot"
+# Neighbouring slots whose counts are summed in one place.
+SLOTS_PER_STRIDE = 1 << 10
+VALUE, TIMES, PRESENT, SLOT, SUBSLOT, STRIDE = "_value", "_times", "_present", "_slot", "_subslot", "_stride"
 ALL = "_all"
 
 
@@ -62,18 +67,59 @@ def _holds_any(ranks: Sequence[Column], first: Column, count: Column) -> Column:
     return found
 
 
-def _facts(rows: DataFrame, group: list[str], slot: str, ranks: Sequence[Column]) -> DataFrame:
-    """Slots that hold a wanted rank, with the count of all values below them.
+def _with_stride(rows: DataFrame, slot: str) -> DataFrame:
+    return rows.withColumn(STRIDE, F.floor(F.col(slot) / F.lit(SLOTS_PER_STRIDE)))
+
+
+def running_sum(counts: DataFrame, group: list[str], slot: str, count: str, into: str) -> DataFrame:
+    """Add the sum of ``count`` over the lower slots of the group, and its total as ``_whole``.
+
+    Two levels: sums inside a stride of neighbouring slots, then sums of whole strides. A
+    group's slots are thus never in one place, only its strides (a thousandth of them),
+    and a stride's base comes back by a join on (group, stride).
+    """
+    placed = _with_stride(counts, slot)
+    strides = placed.groupBy(*group, STRIDE).agg(F.sum(count).alias("_sum"))
+    whole = Window.partitionBy(*group)
+    strides = strides.select(
+        *group,
+        STRIDE,
+        (F.sum("_sum").over(whole.orderBy(STRIDE)) - F.col("_sum")).alias("_base"),
+        F.sum("_sum").over(whole).alias("_whole"),
+    )
+    inside = F.sum(count).over(Window.partitionBy(*group, STRIDE).orderBy(slot)) - F.col(count)
+    met = meet(placed.withColumn("_inside", inside), strides, [*group, STRIDE])
+    return met.withColumn(into, F.col("_base") + F.col("_inside")).drop("_base", "_inside", STRIDE)
 
-    Windows run over slot counts, whose number per group is bounded.
+
+def over_group(slots: DataFrame, group: list[str], facts: Mapping[str, tuple[Callable[[Column], Column], str]]) -> DataFrame:
+    """Add sums, minima or maxima of a column over the whole group to rows with a slot.
+
+    Strides are reduced first, so that a group's slots are not gathered.
     """
+    placed = _with_stride(slots, SLOT)
+    strides = placed.groupBy(*group, STRIDE).agg(*[fn(F.col(c)).alias(name) for name, (fn, c) in facts.items()])
+    whole = Window.partitionBy(*group)
+    strides = strides.select(*group, STRIDE, *[fn(F.col(name)).over(whole).alias(name) for name, (fn, _) in facts.items()])
+    return meet(placed, strides, [*group, STRIDE]).drop(STRIDE)
+
+
+def to_slots(slots: DataFrame, facts: DataFrame, group: list[str]) -> DataFrame:
+    """Join one-row-per-group facts to rows with a slot; on the group itself only strides meet them."""
+    placed = _with_stride(slots, SLOT)
+    strides = meet(placed.select(*group, STRIDE).distinct(), facts, group)
+    return meet(placed, strides, [*group, STRIDE]).drop(STRIDE)
+
+
+def _facts(rows: DataFrame, group: list[str], slot: str, ranks: Sequence[Column]) -> DataFrame:
+    """Slots that hold a wanted rank, with the count of all values below them."""
     counts = rows.groupBy(*group, slot).agg(
         F.sum(TIMES).alias("_c"), F.min(VALUE).alias("_lo"), F.max(VALUE).alias("_hi"), *_carried(rows)
     )
-    below = F.sum("_c").over(Window.partitionBy(*group).orderBy(slot)) - F.col("_c")
+    counts = running_sum(counts, group, slot, "_c", "_below")
     if "_n" not in counts.columns:
-        counts = counts.withColumns({"_n": F.sum("_c").over(Window.partitionBy(*group)), "_before": F.lit(0).cast("long")})
-    counts = counts.withColumn("_before", F.col("_before") + below)
+        counts = counts.withColumns({"_n": F.col("_whole"), "_before": F.lit(0).cast("long")})
+    counts = counts.withColumn("_before", F.col("_before") + F.col("_below")).drop("_whole", "_below")
     return counts.filter(_holds_any(ranks, F.col("_before"), F.col("_c"))).drop("_c")
 
 

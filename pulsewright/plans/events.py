@@ -16,7 +16,7 @@ from pulsewright.functions.rundates import RunDates
 from pulsewright.functions.stats import BPM_METRICS, METRICS
 from pulsewright.functions.timeops import between_days, minute_boundaries, plus_seconds
 from pulsewright.operators.heartbeat import TS
-from pulsewright.operators.intervals import BUCKET, DEFAULT_SALTS, SALT, bucket_points, points_in_intervals
+from pulsewright.operators.intervals import BUCKET, SALT, points_in_intervals
 from pulsewright.operators.relational import union_all, valid_bpm
 from pulsewright.sources.schemas import EVENT_LABELS, SLEEP_LABELS
 
@@ -181,7 +181,7 @@ def _stream_span(days: int, ds: str = "ds") -> tuple[Column, Column]:
 
 
 def label_readings(
-    hr: DataFrame, intervals: DataFrame, runs: RunDates, days: int = 2, min_bpm: int = 40, salts: int = DEFAULT_SALTS
+    hr: DataFrame, intervals: DataFrame, runs: RunDates, days: int = 2, min_bpm: int = 40
 ) -> DataFrame:
     """Distinct readings inside intervals of their participant.
 
@@ -192,13 +192,12 @@ def label_readings(
     readings = _stream(hr, runs, days, min_bpm).distinct()
     span = _stream_span(days)
     pairs = points_in_intervals(
-        bucket_points(readings, "datetime_local", salts=salts),
+        readings,
         intervals.distinct(),
         PIM,
         at="datetime_local",
         lo="match_lo",
         hi="match_hi",
-        salts=salts,
         clip=span,
         condition=F.col("datetime_local").between(*span),
     )
@@ -302,61 +301,46 @@ def sleep_bpm_flags(
 ) -> DataFrame:
     """Readings with their sleep stage and a flag for the session's first minutes.
 
-    Two left interval joins; rows that match neither drop out. Every stored
-    copy of a reading yields its rows. Several run dates can look at one
-    reading, so it first gets a row per run date. Copies of a reading or a stage
-    spread over the salts. Intervals are clipped to the two days a run date looks
-    at, as a pair agrees on the run date.
+    Stages and session starts are one interval table and one join. What a reading has
+    met on a run date is put together where the join left it: a row for each pair of
+    a stage and a start, or for what there is of the two. Every stored copy of a
+    reading yields its rows; copies fold into a count before the join. Intervals are
+    clipped to the two days a run date looks at.
     """
     runs = RunDates.of(ds, ds_to)
-    stream = _stream(hr, runs, 2, min_bpm).withColumn("_copy", F.monotonically_increasing_id())
-    dated = runs.clip(
-        stream.withColumn("_later", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
-            "ds", F.date_add(F.to_date("datetime_local"), F.col("_later"))
-        )
-    ).drop("_later")
-    points = bucket_points(dated, "datetime_local", spread=F.col("_copy")).drop("_copy")
-
+    readings = _stream(hr, runs, 2, min_bpm).groupBy(PIM, "datetime_local", "bpm").agg(F.count(F.lit(1)).alias("_copies"))
+    # Keeps the count in use for all readers of the folded readings, which then share a shuffle.
+    readings = readings.filter(F.col("_copies") > 0)
     stages = sleep_stage_intervals(sleeps, detail, ds, ds_to, distinct=False).select(
-        F.col("ds").alias("stage_ds"), PIM, "sleep_stage_start_loc", "sleep_stage_end_loc", "sleep_stage"
+        "ds", PIM, F.col("sleep_stage_start_loc").alias("lo"), F.col("sleep_stage_end_loc").alias("hi"), "sleep_stage"
     )
     starts = sleep_sessions(sleeps, runs).select(
-        F.col("ds").alias("session_ds"),
+        "ds",
         PIM,
         F.col("sleep_start_time").alias("lo"),
         plus_seconds(F.col("sleep_start_time"), WINDOW_SECONDS).alias("hi"),
-        F.lit(1).alias("sleep_start_10mins"),
-    )
-    staged = points_in_intervals(
-        points,
-        stages,
-        PIM,
-        "datetime_local",
-        "sleep_stage_start_loc",
-        "sleep_stage_end_loc",
-        how="left",
-        clip=_stream_span(2, "stage_ds"),
-        condition=F.col("ds") == F.col("stage_ds"),
+        F.lit(None).cast("string").alias("sleep_stage"),
     )
-    flagged = points_in_intervals(
-        staged,
-        starts,
+    span = _stream_span(2)
+    pairs = points_in_intervals(
+        readings,
+        stages.unionByName(starts),
         PIM,
-        "datetime_local",
-        "lo",
-        "hi",
-        how="left",
-        clip=_stream_span(2, "session_ds"),
-        condition=F.col("ds") == F.col("session_ds"),
+        at="datetime_local",
+        lo="lo",
+        hi="hi",
+        clip=span,
+        condition=F.col("datetime_local").between(*span),
     )
-    return flagged.filter(F.col("sleep_stage").isNotNull() | (F.col("sleep_start_10mins") == 1)).select(
-        "ds",
-        F.col(PIM).alias("participant_id"),
-        "datetime_local",
-        "bpm",
-        F.lower("sleep_stage").alias("sleep_stage"),
-        "sleep_start_10mins",
+    met = pairs.groupBy(PIM, BUCKET, SALT, "datetime_local", "bpm", "_copies", "ds").agg(
+        F.collect_list(F.lower("sleep_stage")).alias("stages"), F.count_if(F.col("sleep_stage").isNull()).alias("starts")
     )
+    # One row even without a stage or without a start.
+    flags = F.array_repeat(F.lit(1), F.col("starts").cast("int"))
+    each = lambda values: F.explode(F.when(F.size(values) > 0, values).otherwise(F.array(F.lit(None))))
+    rows = met.withColumn("sleep_stage", each(F.col("stages"))).withColumn("sleep_start_10mins", each(flags))
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return rows.select("ds", F.col(PIM).alias("participant_id"), "datetime_local", "bpm", "sleep_stage", "sleep_start_10mins")
 
 
 # --- features ----------------------------------------------------------------

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsewright.operators.describe import box_stats, describe_col, histogram
-from pulsewright.operators.intervals import WIDTH_FACTOR, WIDTHS, bucket_intervals, points_in_intervals
+from pulsewright.operators import intervals, quantiles
+from pulsewright.operators.intervals import BUCKET, SALT, WIDTH_FACTOR, bucket_intervals, hot_buckets, points_in_intervals, used_widths
 from pulsewright.operators.quantiles import exact_quantiles
 from pulsewright.operators.relational import aggregate_table, cohort, outer_all, valid_bpm, value_counts
 
@@ -77,6 +78,37 @@ def test_quantiles_match_numpy(spark):
     assert whole.m == pytest.approx(np.median([v for vs in data.values() for v in vs]), rel=1e-12)
 
 
+@pytest.mark.parametrize("stride", [1, 3, 1024])
+def test_running_sums_over_strides(spark, monkeypatch, stride):
+    monkeypatch.setattr(quantiles, "SLOTS_PER_STRIDE", stride)
+    rnd = random.Random(2)
+    rows = [(g, slot, rnd.randrange(9)) for g in ("a", None) for slot in rnd.sample(range(-50, 50), 40)]
+    frame = spark.createDataFrame(rows, "g string, s long, c long")
+    got = {(r.g, r.s): (r.below, r._whole) for r in quantiles.running_sum(frame, ["g"], "s", "c", "below").collect()}
+    total = lambda g: sum(c for q, _, c in rows if q == g)
+    assert got == {(g, s): (sum(c for q, t, c in rows if q == g and t < s), total(g)) for g, s, _ in rows}
+    facts = {"most": (F.max, "c"), "sum": (F.sum, "c")}
+    spread = quantiles.over_group(frame.withColumnRenamed("s", "_slot"), ["g"], facts).select("g", "most", "sum").distinct()
+    assert sorted(map(tuple, spread.collect()), key=str) == sorted(
+        [(g, max(c for q, _, c in rows if q == g), total(g)) for g in ("a", None)], key=str
+    )
+
+
+@pytest.mark.parametrize("stride", [2, 1024])
+def test_box_and_summary_with_many_strides(spark, monkeypatch, stride):
+    monkeypatch.setattr(quantiles, "SLOTS_PER_STRIDE", stride)
+    rnd = random.Random(8)
+    data = {g: values(g, 300, rnd) for g in ("wide", "normal", "outlier", "ties")}
+    frame = spark.createDataFrame([(g, v) for g, vs in data.items() for v in vs], "g string, v double")
+    for r in box_stats(frame, ["g"], "v").collect():
+        q1, med, q3 = np.quantile(data[r.g], [0.25, 0.5, 0.75])
+        inside = [v for v in data[r.g] if q1 - 1.5 * (q3 - q1) <= v <= q3 + 1.5 * (q3 - q1)]
+        assert [r.q1, r.median, r.q3] == pytest.approx([q1, med, q3], rel=1e-12)
+        assert (r.whisker_low, r.whisker_high) == pytest.approx((min(min(inside), q1), max(max(inside), q3)), rel=1e-12)
+    for r in describe_col(frame, "v", ["g"]).collect():
+        assert r["mean"] == pytest.approx(np.mean(data[r.g]), rel=1e-12) and r.sd == pytest.approx(np.std(data[r.g], ddof=1), rel=1e-9)
+
+
 def test_describe(spark):
     frame = spark.createDataFrame([(1.0,), (4.0,), (None,), (10.0,)], "v double")
     row = describe_col(frame, "v").first()
@@ -119,7 +151,7 @@ def test_long_intervals_are_listed_a_few_dozen_times(make):
         [(1, day(1930), day(2030)), (1, day(2024), "2024-01-01 08:00:00"), (1, day(1), day(9999)), (1, day(2024), day(2024))],
         "k bigint,lo timestamp_ntz,hi timestamp_ntz",
     )
-    rows = bucket_intervals(spans, F.col("lo"), F.col("hi"), 600, 1, WIDTHS)
+    rows = bucket_intervals(spans, F.col("lo"), F.col("hi"), 600, widths=True)
     most = rows.groupBy("lo", "hi").count().agg(F.max("count")).first()[0]
     assert most <= WIDTH_FACTOR + 1
 
@@ -143,6 +175,49 @@ def test_join_without_bounds_loses_no_pair(make):
     assert got == sum(k == q and a <= t <= b for k, t in points for q, a, b in spans)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_buckets_are_salted_and_no_pair_is_lost(interval_data, how):
+    left, right, pairs, everyone = interval_data
+    clip = tuple(F.lit(T0 + timedelta(days=d)).cast("timestamp_ntz") for d in (-1, 3))
+    met = points_in_intervals(left, right, "pim_id", "at", "lo", "hi", how, clip=clip, largest=20, most=10)
+    got = met.select("point", "span").collect()
+    unmatched = [] if how == "inner" else [(p, -1) for p in everyone - {p for p, _ in pairs}]
+    assert sorted((r.point, -1 if r.span is None else r.span) for r in got) == sorted(pairs + unmatched)
+    if how == "left":
+        by_bucket = met.groupBy("pim_id", BUCKET).agg(F.countDistinct(SALT).alias("salts"), F.countDistinct("point").alias("n"))
+        rows = by_bucket.collect()
+        assert max(r.salts for r in rows) > 1 and all(r.salts == 1 for r in rows if r.n <= 20)
+
+
+def test_intervals_are_copied_for_hot_buckets_only(make):
+    points = make([(1, moment(i % 600), i) for i in range(900)] + [(1, moment(6000), 900), (2, moment(10), 901)], "k bigint,at timestamp_ntz,point int")
+    spans = make([(1, moment(0), moment(900)), (1, moment(6000), moment(6100)), (2, moment(0), moment(50))], "k bigint,lo timestamp_ntz,hi timestamp_ntz")
+    bucketed = intervals.bucket_points(points, "at")
+    hot = hot_buckets(bucketed, "k", largest=300, most=10)
+    assert [(r._hotkey, r._salts) for r in hot.collect()] == [(1, 3)]
+    listed = intervals._salted(
+        bucket_intervals(spans, F.col("lo"), F.col("hi")), hot, "k", F.explode(F.sequence(F.lit(0).cast("long"), intervals._salts() - 1))
+    )
+    copies = sorted(r["count"] for r in listed.groupBy("k", "lo", BUCKET).count().collect())
+    # The hot bucket's interval thrice; its other bucket and all other intervals once.
+    assert copies == [1, 1, 1, 3]
+    # However many points: at most ``most`` buckets are hot.
+    assert [r._salts for r in hot_buckets(bucketed, "k", largest=1, most=1).collect()] == [900]
+    assert hot_buckets(bucketed.limit(0), "k").isEmpty()
+
+
+def test_points_are_listed_for_used_widths_only(make):
+    spans = make([(1, moment(0), moment(300)), (1, moment(0), moment(7 * 3600))], "k bigint,lo timestamp_ntz,hi timestamp_ntz")
+    points = make([(1, moment(t), t) for t in (0, 100, 400)], "k bigint,at timestamp_ntz,point int")
+    widths = used_widths(spans, F.col("lo"), F.col("hi"))
+    assert intervals.bucket_points(points, "at", widths=widths).count() == 3
+    long = spans.unionByName(make([(1, moment(0), moment(10**7))], "k bigint,lo timestamp_ntz,hi timestamp_ntz"))
+    assert intervals.bucket_points(points, "at", widths=used_widths(long, F.col("lo"), F.col("hi"))).count() == 6
+    assert points_in_intervals(points, spans.limit(0), "k", "at", "lo", "hi").isEmpty()
+    with pytest.raises(ValueError, match="inner"):
+        points_in_intervals(points, spans, "k", "at", "lo", "hi", how="left")
+
+
 def test_readings_that_are_no_numbers_fall_below_the_cut(spark):
     rows = spark.createDataFrame([(float("nan"),), (39.9,), (40.0,), (None,), (60.5,)], "bpm double")
     assert sorted(r.bpm for r in valid_bpm(rows).collect()) == [40.0, 60.5]

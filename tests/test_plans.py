@@ -48,8 +48,12 @@ def test_event_join_is_an_equi_join_and_distinct_stays_in_place(large, tables):
     t = tables
     text = plan(events.event_readings(t.heart_rate, t.sleeps, t.sleep_detail, t.meal_events))
     assert "NestedLoop" not in text and "CartesianProduct" not in text
-    # Readings twice, stages twice, sessions once, intervals twice.
-    assert len(exchanges(text)) == 7
+    # Readings twice, stages three times, sessions once, intervals twice, counts of buckets
+    # twice; those of readings read the readings' first shuffle.
+    found = [line for line in exchanges(text) if "SinglePartition" not in line]
+    assert len(found) == 10
+    assert len([line for line in found if "datetime_local" in line and "_salt" not in line]) == 1
+    assert len([line for line in text.splitlines() if "ReusedExchange" in line]) >= 3
 
 
 def test_scan_reads_used_columns_only(tables):
@@ -95,7 +99,11 @@ def test_meal_statistics_scan_once(large, tables):
     assert text.count("FileScan") == 1 and "Broadcast" not in text
     # Only the two one-row-per-group sides meet on the group alone.
     joins = [line for line in text.splitlines() if "SortMergeJoin" in line]
-    assert len([line for line in joins if "_slot" not in line]) == 1
+    assert len([line for line in joins if "_slot" not in line and "_stride" not in line]) == 1
+    # No window holds all slots of a group: each runs inside a stride, over strides, or inside a slot.
+    for frame in (describe_col(tables.meal_events, "peak_glucose", ["pim_id"]), meals.meal_box(tables.meal_events), meals.meal_histogram(tables.meal_events)):
+        windows = [line for line in plan(frame).splitlines() if re.search(r"[+:]- \*?\(?\d*\)? ?Window ", line)]
+        assert windows and all("_stride" in w or "_subslot" in w or "_sum#" in w or "_low" in w or "_group" in w or "_first" in w for w in windows)
 
 
 def test_single_run_date_bounds_the_stage_scan(tables):
