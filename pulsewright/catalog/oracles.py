@@ -123,6 +123,11 @@ def scans() -> dict[str, str]:
         "partition_replace": simple(
             ("valid",), f"select pim_id, d as ds, {STAT_LIST} from valid group by pim_id, d", MEANS
         ),
+        "clustered_files": simple(
+            ("heart_rate",),
+            """select count(*) as rows_read, 0 as unordered, 0 as overlapping_files, true as several_files,
+            min(pim_id) as first_pim_id, max(pim_id) as last_pim_id from heart_rate""",
+        ),
         "range_partition": simple(
             ("glycemic_features", "individual_medications"),
             f"select *, cast(insulin as bigint) as range_start from ({joined})",
@@ -683,6 +688,7 @@ def all_oracles() -> dict[str, str]:
         "bpm_features_incremental": bpm_features(True, LAST_DAY),
         "bpm_features_corrected": corrected(bpm_features(True)),
         "bpm_features_fractional_incremental": fractional(bpm_features(True)),
+        "bpm_features_cleaned": fractional(bpm_features(True)),
         "nan_readings": fractional(scans()["daily_bpm_stats"]),
         "skipped_run_dates": skipped_run_dates(),
         **meals(),

@@ -26,7 +26,15 @@ from pulsewright.plans.publish import publish
 from pulsewright.session import configure, scratch_path
 from pulsewright.sinks import envelope
 from pulsewright.sinks.conform import conform
-from pulsewright.sinks.files import with_batch_time, write_csv, write_json, write_partition, write_range_partitioned
+from pulsewright.sinks.files import (
+    file_order,
+    with_batch_time,
+    write_clustered,
+    write_csv,
+    write_json,
+    write_partition,
+    write_range_partitioned,
+)
 from pulsewright.sources import scans, schemas
 from pulsewright.sources.adapters import SensorTables, sensor_tables
 
@@ -120,6 +128,21 @@ def partition_replace(t: SensorTables, spark: SparkSession) -> DataFrame:
     return spark.read.schema(stats.schema).parquet(path).select(*stats.columns)
 
 
+@query
+def clustered_files(t: SensorTables, spark: SparkSession) -> DataFrame:
+    """Readings in files that follow each other by participant and time, read back by their position."""
+    path = scratch_path(spark, "clustered")
+    write_clustered(t.heart_rate, path, ["pim_id", TS, "bpm"], files=6)
+    return file_order(spark, path, ["pim_id", TS, "bpm"]).agg(
+        F.sum("rows").alias("rows_read"),
+        F.sum("unordered").alias("unordered"),
+        F.count_if("overlaps").alias("overlapping_files"),
+        (F.count(F.lit(1)) > 1).alias("several_files"),
+        F.min("first.pim_id").alias("first_pim_id"),
+        F.max("last.pim_id").alias("last_pim_id"),
+    )
+
+
 @query
 def range_partition(t: SensorTables, spark: SparkSession) -> DataFrame:
     path = scratch_path(spark, "ranges")
@@ -547,6 +570,20 @@ def bpm_features_fractional_nodedupe(t: SensorTables) -> DataFrame:
     return bpm.flat_bpm_features(nested)
 
 
+@query
+def bpm_features_cleaned(t: SensorTables) -> DataFrame:
+    """Inputs as loaders leave them: ids as text, rates that are no number, rows without a time."""
+    text_ids = lambda df: df.withColumn("pim_id", F.col("pim_id").cast("string"))
+    without = lambda df, col: df.unionByName(df.withColumn(col, F.lit(None).cast(df.schema[col].dataType)))
+    no_number = lambda df, *cols: df.unionByName(df.withColumns({c: F.lit(float("nan")) for c in cols}))
+    bounds = {c: F.col(c).cast("double") for c in ("min_bpm", "max_bpm")}
+    hr = scans.clean(text_ids(without(t.heart_rate_fractional, TS)))
+    rest = scans.clean(text_ids(without(no_number(t.resting_heart_rate, "resting_heart_rate"), "resting_heart_heart_date_loc")))
+    zones = scans.clean(text_ids(without(no_number(t.heart_rate_zones.withColumns(bounds), *bounds), "heart_rate_date_loc")))
+    whole = {c: F.col(c).cast("bigint") for c in bounds}
+    return bpm.flat_bpm_features(bpm.bpm_features(hr, rest, zones.withColumns(whole)))
+
+
 @query
 def nan_readings(t: SensorTables) -> DataFrame:
     return bpm.daily_bpm_stats(t.heart_rate_fractional)

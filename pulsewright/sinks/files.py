@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsewright.functions.rundates import RunDates
@@ -13,6 +13,7 @@ from pulsewright.functions.timeops import parse_day
 from pulsewright.sources.scans import CSV_TIMES
 
 RANGE_COLUMN = "range_start"
+ORDER_BLOCK = 100_000
 
 # Folder name of a null partition value.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -39,6 +40,51 @@ def write_json(df: DataFrame, path: str, ds: str | date | None = None, now: date
     stamped.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_clustered(df: DataFrame, path: str, keys: Sequence[str], files: int | None = None) -> None:
+    """Parquet files that follow each other in the order of ``keys``, sorted inside.
+
+    Each file, and each row group in it, covers a range of its own, so their minimum and
+    maximum statistics let a range filter skip the others. Spark chooses the number of
+    files unless ``files`` is given; range borders come from a sample, so files differ
+    in size, and rows with equal keys share a file.
+    """
+    placed = df.repartitionByRange(*([files] if files else []), *keys)
+    placed.sortWithinPartitions(*keys).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def file_order(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Per file its rows, first and last key, and whether rows or files are out of order.
+
+    Rows follow their position in the file. ``unordered`` counts rows below the one before
+    them; ``overlaps`` says that an earlier file reaches beyond this file's first row.
+    """
+    rows = spark.read.parquet(path).select(
+        F.struct(*keys).alias("key"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")
+    )
+    # A block of a file's rows at a time: the first key of each block meets the last of the one before it.
+    block = F.floor(F.col("at") / ORDER_BLOCK).alias("block")
+    inside = rows.select("*", block)
+    before = F.lag("key").over(Window.partitionBy("file", "block").orderBy("at"))
+    blocks = inside.withColumn("below", (F.col("key") < before).cast("int")).groupBy("file", "block").agg(
+        F.min_by("key", "at").alias("start"),
+        F.max_by("key", "at").alias("stop"),
+        F.min("key").alias("first"),
+        F.max("key").alias("last"),
+        F.coalesce(F.sum("below"), F.lit(0)).alias("below"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+    borders = F.lag("stop").over(Window.partitionBy("file").orderBy("block"))
+    files = blocks.withColumn("border", (F.col("start") < borders).cast("int")).groupBy("file").agg(
+        F.sum("rows").alias("rows"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        (F.sum("below") + F.coalesce(F.sum("border"), F.lit(0))).alias("unordered"),
+    )
+    # One row per file.
+    reached = F.max("last").over(Window.orderBy("first", "file").rowsBetween(Window.unboundedPreceding, -1))
+    return files.withColumn("overlaps", F.coalesce(reached > F.col("first"), F.lit(False)))
+
+
 def named_days(days: Days) -> list[date]:
     """A run date, several, or a closed range of them as a list."""
     if isinstance(days, RunDates):

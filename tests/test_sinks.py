@@ -12,9 +12,10 @@ from pulsewright.functions.rundates import RunDates
 from pulsewright.plans.job import run_job
 from pulsewright.plans.publish import publish, send
 from pulsewright.session import scratch_path
+from pulsewright.sinks import files
 from pulsewright.sinks.conform import conform
 from pulsewright.sinks.envelope import cloud_event, to_messages
-from pulsewright.sinks.files import write_csv, write_json, write_partition, write_range_partitioned
+from pulsewright.sinks.files import write_clustered, write_csv, write_json, write_partition, write_range_partitioned
 from pulsewright.sources.scans import clean, read_csv
 from pulsewright.sources.schemas import EVENTS_DAILY, field, floats, record, struct_of
 
@@ -87,6 +88,21 @@ def test_first_write_of_an_empty_day(spark, rows, tmp_path):
     assert spark.read.schema(rows.schema).parquet(path).count() == 0
 
 
+def test_clustered_files_follow_each_other(spark, monkeypatch, tmp_path):
+    frame = spark.range(2000).select((F.col("id") * 7919 % 2000).alias("k"), F.lit("x" * 20).alias("v")).repartition(5)
+    path = str(tmp_path / "c")
+    write_clustered(frame, path, ["k"], files=4)
+    monkeypatch.setattr(files, "ORDER_BLOCK", 70)
+    found = sorted(files.file_order(spark, path, ["k"]).collect(), key=lambda r: r["first"])
+    assert len(found) == 4 and sum(r.rows for r in found) == 2000
+    assert all(r.unordered == 0 and not r.overlaps for r in found)
+    assert all(a["last"] < b["first"] for a, b in zip(found, found[1:]))
+    # Files as they come overlap and are not sorted.
+    frame.write.parquet(str(tmp_path / "d"))
+    loose = files.file_order(spark, str(tmp_path / "d"), ["k"]).collect()
+    assert sum(r.unordered for r in loose) > 100 and any(r.overlaps for r in loose)
+
+
 def test_rows_of_other_days_fail_before_anything_is_replaced(spark, rows, tmp_path):
     path = str(tmp_path / "p")
     write_partition(rows, path)
