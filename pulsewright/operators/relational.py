@@ -33,8 +33,15 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 
 
 def cohort(df: DataFrame, participants: DataFrame, key: str = "pim_id") -> DataFrame:
-    """Keep rows of listed participants."""
-    return df.join(participants.select(key).distinct(), key, "left_semi")
+    """Keep rows of listed participants.
+
+    The list may be too large to broadcast. Its least and greatest key are known when the
+    job runs and reach the scan as a range, ahead of the shuffle; files clustered by
+    participant (``sinks.files.write_clustered``) are then skipped outside it.
+    """
+    listed = participants.select(F.col(key).cast(df.schema[key].dataType).alias(key)).distinct()
+    bound = lambda fn: listed.agg(fn(key)).scalar()
+    return df.filter((F.col(key) >= bound(F.min)) & (F.col(key) <= bound(F.max))).join(listed, key, "left_semi")
 
 
 def aggregate_table(

@@ -6,8 +6,10 @@ import pytest
 
 from pulsewright.catalog.queries import WIDTHS
 from pulsewright.operators.describe import describe_col
+from pulsewright.operators.relational import cohort
 from pulsewright.plans import bpm, events, hrv, meals
 from pulsewright.session import scratch_path
+from pulsewright.sinks.files import write_clustered
 from pulsewright.sources.adapters import sensor_tables
 
 
@@ -130,3 +132,18 @@ def test_scratch_folder_needs_a_shared_place_on_a_cluster():
     for master in ("spark://a:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             scratch_path(Session(master=master), "n")
+
+
+def test_cohort_bounds_reach_the_scan(large, spark, tables, tmp_path):
+    write_clustered(tables.heart_rate, str(tmp_path / "hr"), ["pim_id"], files=5)
+    stored = spark.read.parquet(str(tmp_path / "hr"))
+    people = spark.createDataFrame([("7",), ("8",), ("8",), (None,)], "pim_id string")
+    got = cohort(stored, people)
+    text = plan(got)
+    scan = next(line for line in text.splitlines() if "FileScan" in line and "bpm#" in line)
+    assert "NestedLoop" not in text and "Broadcast" not in text
+    # One subquery gives both bounds.
+    assert re.search(r"DataFilters: \[.*pim_id#\d+L >= Subquery", scan) and text.count("- Subquery scalar-subquery") == 1
+    want = stored.filter("pim_id in (7, 8)").collect()
+    assert sorted(got.select(*stored.columns).collect()) == sorted(want) and want
+    assert cohort(stored, people.limit(0)).isEmpty()
