@@ -13,9 +13,8 @@
    of each list. Of lists that then still hold several components, whole sets are
    counted: a shingle found in one component only cannot be shared with another one, so
    what is left of a set bounds all its open links. Classes without enough left drop
-   out, the others are compared with the class of each list that has most left, for some
-   rounds; last come all open pairs that still can link. Pairs left out lie in one
-   component or cannot link.
+   out, the others are compared with the class of each list that has most left. Last come all open pairs that still can link: they meet on the rarest
+   shingles of their whole sets. Pairs left out lie in one component or cannot link.
 
 Shingles are 64-bit hashes, as is the name of a class.
 """
@@ -40,7 +39,8 @@ RETAINED = 64
 RISK = 1e-10
 # Unions above this many shingles count as endless: draws with replacement spread wider.
 ENDLESS = 5000
-ROUNDS = 4
+# The last round compares all open pairs, those before it only pairs with leaders.
+ROUNDS = 2
 
 
 @lru_cache(None)
@@ -198,6 +198,27 @@ def _left_open(rows: DataFrame, sets: _WholeSets, percent: int) -> DataFrame:
     return stored(rows.join(counted, "sig").filter(100 * F.col("open") >= percent * F.col("n")), "sketch-left")
 
 
+def _set_meetings(rows: DataFrame, sets: _WholeSets, percent: int) -> DataFrame:
+    """Open pairs that can link, met on the rarest shingles of whole sets.
+
+    A class's shingles are ordered from those no other component has to those most open
+    classes have; a pair that links shares one early enough for the rest to suffice.
+    """
+    ids = rows.select("sig", "n", "c").distinct()
+    grams = sets.of(ids).join(ids, "sig").select("sig", "n", "c", F.explode("grams").alias("gram"))
+    holders = grams.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("holders"))
+    shared = grams.join(holders.filter("lo <> hi").select("gram", "holders"), "gram")
+    own = shared.groupBy("sig", "n", "c").agg(F.array_sort(F.collect_list(F.struct("holders", "gram"))).alias("own"))
+    placed = own.select("sig", "n", "c", F.size("own").alias("open"), F.posexplode("own").alias("at", "entry"))
+    placed = placed.withColumn("left", (F.col("open") - F.col("at")).cast("long")).filter(100 * F.col("left") >= percent * F.col("n"))
+    one = placed.select("entry.gram", "sig", "n", "c", "left")
+    two = one.select(*[F.col(c).alias(f"{c}2") for c in one.columns])
+    n, m = F.col("n"), F.col("n2")
+    enough = (100 + percent) * F.least("left", "left2") >= percent * (n + m)
+    on = (F.col("gram") == F.col("gram2")) & (F.col("c") < F.col("c2")) & (100 * F.least(n, m) >= percent * F.greatest(n, m))
+    return one.join(two, on & enough)
+
+
 def sketch_components(
     docs: DataFrame, shingle: int = 5, percent: int = 80, k: int = RETAINED, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -233,15 +254,13 @@ def sketch_components(
         rest = _still_open(rest.select("value", "sig", "n", "need", "left"), components)
         if rest.isEmpty():
             break
-        rest = _left_open(rest, sets, percent)
         if turn < ROUNDS:
+            rest = _left_open(rest, sets, percent)
             most = F.struct(F.col("open") / F.col("n"), F.xxhash64("sig", F.lit(turn)))
             met = _with_leaders(rest, [most, F.xxhash64("sig", F.lit(turn))]).filter("c <> c2")
             met = met.filter(_may_link(percent) & _left_may_link(percent))
         else:
-            other = rest.select(*[F.col(c).alias(f"{c}2") for c in rest.columns])
-            on = (F.col("value") == F.col("value2")) & (F.col("c") < F.col("c2"))
-            met = rest.join(other, on & _may_link(percent) & _left_may_link(percent))
+            met = _set_meetings(rest, sets, percent)
         fresh = _pairs(met).join(tested, ["a", "b"], "left_anti")
         fresh = stored(_estimated(fresh, classes, k), "sketch-pairs")
         if fresh.isEmpty():
