@@ -18,6 +18,7 @@ looks its place up in the plan.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -39,26 +40,63 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class _Parts(dict):
+    """Ids of text parts by part, learnt when first asked for; ``old`` holds an earlier generation."""
+
+    MARKS = ".,;:!?"
+    LONGEST = 100
+
+    def __init__(self, tokenizer: object, old: dict[str, bytes], letters: dict[int, str]):
+        super().__init__({"": b""})
+        self.tokenizer, self.model, self.old, self.letters = tokenizer, tokenizer.model, old, letters
+
+    def __missing__(self, part: str) -> bytes:
+        made = self.old.get(part)
+        if made is None:
+            word = part.rstrip(self.MARKS)
+            lower = word.lower()
+            # Marks after a letter that lower-cases to a letter and a mark would join that mark.
+            if word == part or not lower.isalpha():
+                made = self._word(part)
+            else:
+                made = self[lower if word.isascii() else word] + self[part[len(word) :]]
+        if len(part) <= self.LONGEST:
+            self[part] = made
+        return made
+
+    def _word(self, part: str) -> bytes:
+        """A word of letters the model sees as they are needs neither normalising nor splitting."""
+        if not part.isalpha():
+            return self._whole(part)
+        word = part.lower()
+        if not word.isascii():
+            if not self.letters.keys() >= set(map(ord, word)):
+                return self._whole(part)
+            word = word.translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _whole(self, part: str) -> bytes:
+        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+
+
 class PackedTokens:
     """Token ids of texts as little-endian 32-bit bytes.
 
     This vocabulary drops white space, so a text's ids are those of its parts between
-    blanks, one after the other. Parts are remembered, up to a fixed number. A new part
-    that is a word and closing marks is split there, as the tokenizer itself does. New
-    words go through the tokenizer in one string: a word's last id carries the
-    vocabulary's end-of-word sign, which tells them apart again.
+    blanks, one after the other, and closing marks after a word are parts of their own.
+    Parts of up to 100 characters are remembered in two generations of ``limit`` each:
+    when the younger is full it becomes the elder, and parts still in use move back.
     """
 
-    MARKS = ".,;:!?"
-    END = "</w>"
-
     def __init__(self, path: str, limit: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.known: dict[str, bytes] = {"": b""}
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.ends = np.asarray([(self.tokenizer.id_to_token(i) or "").endswith(self.END) for i in range(size)])
+        normal, split = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        # Latin letters that lower-casing and composing leave alone, as the model spells them.
+        latin = [c for c in map(chr, range(0x61, 0x250)) if c.isalpha() and c.lower() == c == normal(c)]
+        self.letters = {ord(c): "".join(spelt for spelt, _ in split(c)) for c in latin}
+        self.known = _Parts(self.tokenizer, {}, self.letters)
 
     @classmethod
     def of_worker(cls, path: str) -> PackedTokens:
@@ -69,48 +107,10 @@ class PackedTokens:
         return kept[1]
 
     def __call__(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
-        known = self.known
-        if len(known) > self.limit:
-            self.known = known = {"": b""}
-        new = set(parts).difference(known)
-        if new:
-            self._learn(new)
-        return b"".join(map(known.__getitem__, parts))
-
-    def _learn(self, parts: set[str]) -> None:
-        split, words, rest = [], set(), set()
-        for part in parts:
-            word = part.rstrip(self.MARKS)
-            if word.isalpha():
-                tail = part[len(word) :]
-                word = word.lower() if word.isascii() else word
-                split.append((part, word, tail))
-                words.add(word)
-                rest.add(tail)
-            else:
-                rest.add(part)
-        self._words([w for w in words if w not in self.known])
-        self._each([p for p in rest if p not in self.known])
-        for part, word, tail in split:
-            self.known[part] = self.known[word] + self.known[tail]
-
-    def _words(self, words: list[str]) -> None:
-        if not words:
-            return
-        ids = np.asarray(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        last = np.flatnonzero(self.ends[ids]) + 1
-        if len(last) != len(words):  # a word that the tokenizer splits after all
-            self._each(words)
-            return
-        data, at = ids.tobytes(), 0
-        for word, end in zip(words, (4 * last).tolist(), strict=True):
-            self.known[word] = data[at:end]
-            at = end
-
-    def _each(self, parts: list[str]) -> None:
-        for part, made in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False), strict=True):
-            self.known[part] = np.asarray(made.ids, "<u4").tobytes()
+        if len(self.known) > self.limit:
+            self.known.old = {}
+            self.known = _Parts(self.tokenizer, self.known, self.letters)
+        return b"".join(map(self.known.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def token_pieces(

@@ -50,6 +50,18 @@ def test_pieces_and_places(docs_of):
     assert sequences <= -(-total // 64) + 2
 
 
+@pytest.mark.parametrize("limit", [700_000, 5])
+def test_remembered_parts_give_the_tokenizers_ids(limit):
+    """Parts are learnt one by one: none can take another's ids, in whatever order generations change."""
+    encode, r = p.PackedTokens(p.tokenizer_file(), limit), random.Random(4)
+    pieces = [*"aZéÉİıßŉªº'.!, \nſµŸΣ\u0301日9<|ﬁ\u0307", "the", "Naïve", "\u200b", "x" * 300]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randint(1, 20))) for _ in range(3000)] + [t for t in ODD if t]
+    assert [encode(t) for t in texts] == [
+        np.asarray(x.ids, "<u4").tobytes() for x in encode.tokenizer.encode_batch(texts, add_special_tokens=False)
+    ]
+    assert len(encode.known) <= limit + 60 and all(len(x) <= encode.known.LONGEST for x in encode.known)
+
+
 def test_empty_table(docs_of):
     assert p.pack(docs_of([])).count() == 0
 
