@@ -43,15 +43,30 @@ class Bundler:
         self.looked = np.zeros(0x110000, bool)
         self.rank = np.zeros(0x110000, np.int64)
 
-    def _clean(self, text: str) -> np.ndarray:
-        """Lower-case letters as code points, words parted by one blank, blanks around."""
+    def _clean(self, text: str, after_letter: bool) -> tuple[np.ndarray, bool]:
+        """Letters as code points, each run of others after a letter as one blank; whether the last is a letter."""
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         for c in np.unique(codes[~self.looked[codes]]):
             self.looked[c], self.is_letter[c] = True, chr(c).isalpha()
         letter = self.is_letter[codes]
         keep = letter.copy()
         keep[1:] |= letter[:-1]
-        return np.concatenate([[SPACE], np.where(letter, codes, SPACE)[keep], [SPACE]]).astype(np.int64)
+        keep[0] |= after_letter
+        return np.where(letter, codes, SPACE)[keep].astype(np.int64), bool(letter[-1])
+
+    def _pieces(self, text: str) -> Iterator[tuple[np.ndarray, int]]:
+        """A text, blanks around, in pieces of bounded size and the letters of each.
+
+        A piece begins with the last two code points of the one before, so that every
+        trigram of the text lies in exactly one piece.
+        """
+        low, carried, after_letter = text.lower(), np.asarray([SPACE]), False
+        for at in range(0, len(low), PIECE):
+            body, after_letter = self._clean(low[at : at + PIECE], after_letter)
+            end = [SPACE] if at + PIECE >= len(low) else []
+            codes = np.concatenate([carried, body, np.asarray(end, np.int64)])
+            yield codes, int((body != SPACE).sum())
+            carried = codes[-2:]
 
     def _letters(self, alphabet: np.ndarray) -> np.ndarray:
         if len(self.vectors) > 4096:
@@ -64,19 +79,25 @@ class Bundler:
     def bundle(self, texts: list[tuple[int, str]], rows: int) -> tuple[np.ndarray, np.ndarray]:
         """Vector sums and letter counts per row; ``texts`` are (row, text)."""
         total, letters = np.zeros((rows, self.dimensions)), np.zeros(rows, np.int64)
-        parts, owner = [], []
+        parts, owner, held = [], [], 0
         for row, text in texts:
-            low = text.lower()
-            # Very long texts go piece by piece; a cut counts as the end of a word.
-            for at in range(0, len(low), PIECE):
-                codes = self._clean(low[at : at + PIECE])
-                seen = int((codes != SPACE).sum())
-                if seen:
-                    letters[row] += seen
-                    parts.append(codes)
-                    owner.append(row)
-        if not parts:
-            return total, letters
+            for codes, seen in self._pieces(text):
+                letters[row] += seen
+                if len(codes) < 3:
+                    continue
+                parts.append(codes)
+                owner.append(row)
+                held += len(codes)
+                if held >= PIECE:
+                    self._add(total, parts, owner)
+                    parts, owner, held = [], [], 0
+        if parts:
+            self._add(total, parts, owner)
+        return total, letters
+
+    def _add(self, total: np.ndarray, parts: list[np.ndarray], owner: list[int]) -> None:
+        """Add the trigram vectors of pieces to the rows that own them."""
+        rows = len(total)
         sizes = np.asarray([len(p) for p in parts])
         codes = np.concatenate(parts)
         alphabet = np.unique(codes) if len(codes) < 1000 else self._present(codes)
@@ -106,7 +127,6 @@ class Bundler:
             mine = (at >= first) & (at < first + len(g)) if len(grams) > block else slice(None)
             counts = np.bincount(who[mine] * len(g) + at[mine] - first, minlength=rows * len(g)).reshape(rows, len(g))
             total += counts.astype(np.float32) @ bound
-        return total, letters
 
     def _present(self, codes: np.ndarray) -> np.ndarray:
         there = np.zeros(0x110000, bool)

@@ -69,3 +69,26 @@ def test_very_long_text():
     body = "ab cd " * 500_000
     total, letters = made.bundle([(0, body)], 1)
     assert letters[0] == 2_000_000 and np.abs(total).max() > 0
+
+
+def test_no_trigram_is_lost_where_a_long_text_is_cut(monkeypatch):
+    r, bodies = random.Random(8), ["", " ", "!a", "ab", "ab!cd ,, e"]
+    bodies += ["".join(r.choice("abö .,\n1ж") for _ in range(r.randint(1, 60))) for _ in range(40)]
+    whole = h.Bundler(64, 7).bundle(list(enumerate(bodies)), len(bodies))
+    for piece in (1, 2, 3, 7):
+        monkeypatch.setattr(h, "PIECE", piece)
+        total, letters = h.Bundler(64, 7).bundle(list(enumerate(bodies)), len(bodies))
+        assert (total == whole[0]).all() and (letters == whole[1]).all()
+    assert (whole[0][bodies.index("ab!cd ,, e")] == brute_vector("ab!cd ,, e", 64, 7)).all()
+
+
+def test_a_text_beyond_one_piece_against_brute_force():
+    body = "ab" * (h.PIECE // 2 - 1) + "x" + "cde" * 10  # a word lies across the cut
+    counted = {}
+    padded = f" {body} "
+    for at in range(len(padded) - 2):
+        counted[padded[at : at + 3]] = counted.get(padded[at : at + 3], 0) + 1
+    vector = lambda c: h.letter_vector(ord(c), 32, 7).astype(np.int64)
+    want = sum(n * np.roll(vector(a), 2) * np.roll(vector(b), 1) * vector(c) for (a, b, c), n in counted.items())
+    total, letters = h.Bundler(32, 7).bundle([(0, body)], 1)
+    assert (total[0] == want).all() and letters[0] == len(body) > h.PIECE
