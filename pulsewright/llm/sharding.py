@@ -1,8 +1,9 @@
 """Sharding by proportional stratified interleaving.
 
 Rows of each source are put in a seeded random order; a row's fractional rank is
-its place there, (rank + 1/2) / rows of the source. Sorting all rows by it mixes
-the sources evenly, so any contiguous cut holds each source in its overall share.
+its place there, (rank + u) / rows of the source, with a seeded u from 0 to 1 for each
+source. Sorting all rows by it mixes the sources evenly, so any contiguous cut holds
+each source in its overall share; u spreads sources of one or few rows over all places.
 The sorted sequence is cut into shards whose row counts differ by one at most.
 
 Both ranks are exact and distributed: rows are dealt to fine buckets of the sort
@@ -57,24 +58,28 @@ def interleave(
     """One row per input row: id, size, text_crc32, law, shard, slot, grown_shard, source.
 
     A null source is a stratum of its own, a null text has size 1 and the crc of
-    no bytes, a null id is shuffled like any other value. Repeated rows are
-    separate rows; ties are ordered by id, crc and size, so only fully equal rows
-    could change places. Other columns are ignored; an empty table gives no rows.
+    no bytes. Rows with a null id are shuffled by their place in the input, so that they
+    are spread however many they are; all others by id. Repeated rows are separate rows;
+    ties are ordered by id, crc and size, so only fully equal rows could change places. Other columns are ignored; an empty table gives no rows.
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
+    unnamed = F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.col(source_col).alias("source"),
-        F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("_key"),
+        F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), unnamed))).alias("_key"),
     )
     # Texts are read once; from here on rows are small.
     rows = stored(rows, "shard-rows")
     ties = [F.col("doc_id"), F.col("text_crc32"), F.col("size")]
-    shuffled = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") % buckets
+    drawn = lambda key: F.conv(F.substring(key, 1, 8), 16, 10).cast("long")
+    # The leading digits are the order; a bucket is a range of them.
+    shuffled = F.shiftright(drawn("_key") * buckets, 32)
+    phase = drawn(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("source").cast("string")))) / F.lit(1 << 32)
     by_source = _ranked(rows, ["source"], shuffled, [F.col("_key"), *ties], "rank")
-    part = by_source.withColumn("_share", (2 * F.col("rank") + 1) / (2 * F.col("rank_of")).cast("double"))
+    part = by_source.withColumn("_share", (F.col("rank") + phase) / F.col("rank_of"))
     fine = F.least(F.floor(F.col("_share") * buckets), F.lit(buckets - 1))
     placed = _ranked(part, [], fine, [F.col("_share"), F.col("_key"), *ties, F.col("source")], "place")
     at = F.col("place")

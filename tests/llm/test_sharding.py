@@ -50,3 +50,20 @@ def test_written_shards(spark, docs_of, tmp_path):
     s.write_shards(docs_of(docs), str(tmp_path / "out"), shards=4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 50 and {r["shard"] for r in back.select("shard").collect()} == {0, 1, 2, 3}
+
+
+def test_many_small_sources_and_null_ids_are_spread(spark, monkeypatch):
+    """No bucket of either ranking holds more than a small part of the rows."""
+    kept = []
+    real = s._ranked
+    monkeypatch.setattr(s, "_ranked", lambda df, group, bucket, *rest: kept.append(df.withColumn("b", bucket)) or real(df, group, bucket, *rest))
+    lone = spark.range(10_000).selectExpr("id AS doc_id", "'t' AS text", "concat('site', id) AS source")
+    null = spark.range(5_000).selectExpr("CAST(NULL AS long) AS doc_id", "'same' AS text", "'hot' AS source")
+    rows = s.interleave(lone.unionByName(null), buckets=256).collect()
+    assert len(rows) == 15_000
+    by_source, placed = kept
+    assert by_source.filter("source = 'hot'").groupBy("b").count().agg({"count": "max"}).first()[0] < 100
+    assert placed.groupBy("b").count().agg({"count": "max"}).first()[0] < 200
+    for k in range(16):
+        own = [r for r in rows if r["shard"] == k]
+        assert abs(sum(r["source"] == "hot" for r in own) - 5000 / 16) < 60
