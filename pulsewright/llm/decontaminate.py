@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsewright.llm.common import over_arrow, stored, table
@@ -44,30 +44,56 @@ def phrase_words(text: str | None) -> list[bytes]:
 
 
 class Phrases:
-    """Distinct windows of a block of items, as symbol rows, and the items of each."""
+    """Distinct windows of a block of items, as symbol rows, and the items of each.
+
+    Windows are rows of 32-bit symbols; the items of window ``w`` are
+    ``names[i]`` for i in ``item[first[w]:first[w + 1]]``. A window costs some fixed
+    number of bytes, no object of its own.
+    """
 
     def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
         self.symbol: dict[bytes, int] = {}
-        held: dict[tuple[int, ...], set[str]] = {}
+        self.names = sorted({i for i, _ in items if i is not None})
+        number = {name: n for n, name in enumerate(self.names)}
+        by_width: dict[int, list[tuple[np.ndarray, int]]] = {}
         for item_id, text in items:
-            codes = [self.symbol.setdefault(w, len(self.symbol) + 1) for w in phrase_words(text)]
-            width = min(window, len(codes))
-            for at in range(len(codes) - width + 1 if width else 0):
-                held.setdefault(tuple(codes[at : at + width]), set()).update([] if item_id is None else [item_id])
-        self.width = np.asarray([len(w) for w in held], np.int64)
-        self.code = np.zeros((len(held), int(self.width.max(initial=0))), np.int64)
-        for row, codes in enumerate(held):
-            self.code[row, : len(codes)] = codes
-        self.items = [sorted(i) for i in held.values()]
+            codes = np.asarray([self.symbol.setdefault(w, len(self.symbol) + 1) for w in phrase_words(text)], np.int32)
+            if len(codes):
+                by_width.setdefault(min(window, len(codes)), []).append((codes, number.get(item_id, -1)))
+        widest = max(by_width, default=0)
+        codes_, widths, item, counts = [np.zeros((0, widest), np.int32)], [], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for width, held in sorted(by_width.items()):
+            windows = np.concatenate([np.lib.stride_tricks.sliding_window_view(c, width) for c, _ in held])
+            owner = np.repeat(np.asarray([n for _, n in held], np.int32), [len(c) - width + 1 for c, _ in held])
+            order = np.lexsort((owner, *windows.T))
+            windows, owner = windows[order], owner[order]
+            new = np.ones(len(windows), bool)
+            new[1:] = (windows[1:] != windows[:-1]).any(axis=1)
+            # An item counts once for a window; one without id is not listed.
+            listed = owner >= 0
+            listed[1:] &= new[1:] | (owner[1:] != owner[:-1])
+            counts.append(np.bincount(np.cumsum(new)[listed] - 1, minlength=int(new.sum())))
+            item.append(owner[listed])
+            padded = np.zeros((int(new.sum()), widest), np.int32)
+            padded[:, :width] = windows[new]
+            codes_.append(padded)
+            widths.append(np.full(len(padded), width, np.int64))
+        self.code = np.concatenate(codes_)
+        self.width = np.concatenate([np.zeros(0, np.int64), *widths])
+        self.item = np.concatenate(item)
+        self.first = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+
+    def items_of(self, window: int) -> list[str]:
+        return [self.names[i] for i in self.item[self.first[window] : self.first[window + 1]]]
 
     def parts(self) -> tuple:
         """Plain values, which a broadcast can carry to workers without this package."""
-        return self.symbol, self.width, self.code, self.items
+        return self.symbol, self.width, self.code, self.names, self.item, self.first
 
     @classmethod
     def of(cls, parts: tuple) -> Phrases:
         made = cls([])
-        made.symbol, made.width, made.code, made.items = parts
+        made.symbol, made.width, made.code, made.names, made.item, made.first = parts
         return made
 
 
@@ -248,7 +274,7 @@ class Shard:
             doc = np.searchsorted(first, at, side="right") - 1
             begin = place[at]
             for d, p in np.unique(np.stack([doc, phrase], 1), axis=0):
-                items[d].update(self.phrases.items[p])
+                items[d].update(self.phrases.items_of(p))
             order = np.lexsort([begin, doc])
             for d, b, e in zip(doc[order], begin[order], (begin + self.phrases.width[phrase])[order], strict=True):
                 own = spans[d]
@@ -320,10 +346,19 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str |
     if total <= block_bytes:
         yield [tuple(r) for r in items.collect()]
         return
-    dealt = stored(
-        items.withColumn("_block", (F.sum(size).over(Window.orderBy("item_id", "text")) / block_bytes).cast("long")), "phrases"
-    )
-    for block in range(int(total // block_bytes) + 1):
+    # Equal items tell nothing new; others are dealt by hash, so that no task orders or holds them all.
+    items = stored(items.distinct(), "phrase-items")
+    blocks = -(-2 * total // block_bytes)
+    while True:
+        block = F.pmod(F.xxhash64("item_id", "text", F.lit(blocks)), F.lit(blocks))
+        dealt = items.withColumn("_block", block)
+        held = dealt.groupBy("_block").agg((F.sum(size) - F.max(size)).alias("rest"))
+        # Next to its largest item a block holds less than block_bytes.
+        if held.filter(F.col("rest") >= block_bytes).isEmpty():
+            break
+        blocks *= 2
+    dealt = stored(dealt.repartition("_block").sortWithinPartitions("_block"), "phrases")
+    for block in range(blocks):
         part = [tuple(r) for r in dealt.filter(F.col("_block") == block).drop("_block").collect()]
         if part:
             yield part

@@ -78,3 +78,29 @@ def test_index_search_and_locate():
 
 def test_removal_keeps_the_rest():
     assert d.without_spans("One, two three. Four!", [(1, 3)]) == "One, . Four!"
+
+
+def test_phrases_are_the_distinct_windows_and_their_items():
+    r = random.Random(3)
+    items = [(r.choice(["a", "b", "c", None]), " ".join(r.choice("xyz") for _ in range(r.randint(0, 7)))) for _ in range(60)] + [("d", None)]
+    want = {}
+    for item_id, text in items:
+        own = (text or "").encode().split()
+        width = min(3, len(own))
+        for at in range(len(own) - width + 1 if width else 0):
+            want.setdefault(tuple(own[at : at + width]), set()).update({item_id} - {None})
+    made = d.Phrases(items, 3)
+    word = {n: w for w, n in made.symbol.items()}
+    got = {tuple(word[c] for c in code[:n]): made.items_of(i) for i, (code, n) in enumerate(zip(made.code, made.width, strict=True))}
+    assert got == {k: sorted(v) for k, v in want.items()} and len(got) == len(made.width)
+
+
+def test_blocks_hold_every_item_once_within_their_bound(spark):
+    bench = [(str(i), "w" * (i % 90)) for i in range(400)] + [("big", "x" * 3000), (None, "no id"), ("null", None)]
+    frame = spark.createDataFrame(bench + bench[:50], "item_id string, text string")
+    blocks = list(d._blocks(frame, 2000))
+    assert len(blocks) > 10
+    assert sorted(map(str, (i for b in blocks for i in b))) == sorted(map(str, bench))
+    for b in blocks:
+        sizes = [len(t or "") + 64 for _, t in b]
+        assert sum(sizes) - max(sizes) < 2000
