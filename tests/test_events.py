@@ -178,3 +178,27 @@ def test_stage_of_extreme_length(hr, sleeps, make):
 def test_duration_form(readings):
     rows = events.events_detail(readings, with_duration=True).collect()
     assert {r.duration for r in rows if r.event == "wake"} == {11}
+
+
+def test_features_need_no_listed_readings(hr, sleeps, detail, meals):
+    for strict in (True, False):
+        rows = events.event_readings(hr(READINGS), sleeps, detail, meals, DS, strict=strict)
+        intervals = events.event_intervals(sleeps, detail, meals, DS, strict=strict)
+        straight = events.detail_of(hr(READINGS), intervals, DS, with_duration=True)
+        assert straight.schema == events.events_detail(rows, with_duration=True).schema
+        assert sorted(map(str, straight.collect())) == sorted(map(str, events.events_detail(rows, with_duration=True).collect()))
+        daily = events.daily_of(hr(READINGS), intervals, DS)
+        assert daily.dtypes == events.events_daily(rows).dtypes
+        assert sorted(map(str, daily.collect())) == sorted(map(str, events.events_daily(rows).collect()))
+
+
+def test_features_of_rates_with_fractions(make, sleeps, detail):
+    frame = make([(1, "2021-05-03 06:39:00", 70.5)], "pim_id bigint,heart_rate_datetime_loc timestamp_ntz,bpm double")
+    rows = events.detail_of(frame, events.sleep_intervals(sleeps, detail, DS), DS).collect()
+    assert {(r.event, r.mean_bpm, r.count_) for r in rows} == {("wake", 70.5, 1), ("bedtime_start", 70.5, 1)}
+
+
+def test_stage_meets_a_run_date_once(detail, make):
+    sleeps = make([(1, "2021-05-03", f"2021-05-03 06:{m:02d}:00", "2021-05-03 09:30:00") for m in range(30)] * 2, SLEEPS)
+    rows = events.stage_event_intervals(sleeps, detail, DS).collect()
+    assert sorted(r.event for r in rows) == ["deep", "odd", "wake"]

@@ -221,3 +221,35 @@ def test_points_are_listed_for_used_widths_only(make):
 def test_readings_that_are_no_numbers_fall_below_the_cut(spark):
     rows = spark.createDataFrame([(float("nan"),), (39.9,), (40.0,), (None,), (60.5,)], "bpm double")
     assert sorted(r.bpm for r in valid_bpm(rows).collect()) == [40.0, 60.5]
+
+
+def test_merged_intervals(make):
+    at = lambda m: f"2021-05-03 06:{m:02d}:00"
+    rows = [(1, at(0), at(9)), (1, at(1), at(2)), (1, at(5), at(12)), (1, at(12), at(13)), (1, at(14), at(15)), (1, at(14), at(15)), (2, at(9), at(8)), (2, at(9), None)]
+    frame = make(rows, "pim_id bigint,lo timestamp_ntz,hi timestamp_ntz")
+    got = sorted((r.pim_id, r.lo.minute, r.hi.minute) for r in intervals.merged_intervals(frame, ["pim_id"], "lo", "hi").collect())
+    assert got == [(1, 0, 13), (1, 14, 15)]
+
+
+def test_interval_moments_equal_pairs(spark):
+    rnd = random.Random(5)
+    # Many on whole seconds, bucket edges and before 1970; ends differ by a microsecond from points.
+    moment = lambda: rnd.randrange(-90, 90) * 10_000_000 + rnd.choice((0, 0, 1, -1))
+    points = [(rnd.randrange(2), moment(), rnd.randrange(40, 180)) for _ in range(300)] + [(None, 0, 1)]
+    spans = []
+    for i in range(200):
+        lo = moment()
+        spans.append((i, rnd.randrange(2), lo, lo + rnd.choice((0, 59_999_999, 60_000_000, 300_000_000, rnd.randrange(-9, 900_000_000)))))
+    ntz = lambda c: F.timestamp_micros(c).cast("timestamp_ntz").alias(c)
+    p = spark.createDataFrame(points, "k long, t long, v long").select("k", ntz("t"), "v")
+    s = spark.createDataFrame(spans, "i long, k long, lo long, hi long").select("i", "k", ntz("lo"), ntz("hi"))
+    want = {}
+    for i, k, lo, hi in spans:
+        held = [v for pk, t, v in points if pk == k and lo <= t <= hi]
+        if held:
+            want[i] = (len(held), sum(held), sum(v * v for v in held), min(held), max(held))
+    for seconds in (60, 600):
+        got = intervals.interval_moments(p, s, "k", "t", "v", "lo", "hi", ["i", "k"], seconds)
+        assert {r.i: (r.n, r.total, r.squares, r.least, r.greatest) for r in got.collect()} == want
+    by_key = intervals.interval_moments(p, s, "k", "t", "v", "lo", "hi", ["k"], 60).collect()
+    assert sum(r.n for r in by_key) == sum(w[0] for w in want.values()) and len(by_key) == 2
