@@ -45,7 +45,6 @@ ALSO_LOOSE = r"^(?:[0-9]{2,4}[\x20-][0-9]{3,4}[\x20-][0-9]{3,4}|[0-9]{3}-[0-9]{2
 LOOK_BACK = 32
 
 GENERATORS = ("email", "ip", "card", "phone", *LOOSE)
-SAMPLE_TEXTS = 50_000
 TREES, RATE, PRECISION, LEAST = 20, 0.3, 0.95, 20
 
 
@@ -212,14 +211,13 @@ def calibrate(score: np.ndarray, label: np.ndarray, weight: np.ndarray, precisio
 CALIBRATED_BY = {"loose_email": ("email",), "loose_phone": ("phone",), "loose_id": ("card", "phone")}
 
 
-def learn(found: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> tuple[float, list[Split], dict[str, float]]:
-    """Trees and cutoffs from checked candidates of about ``sample_texts`` texts, picked by hash.
+def learn(found: DataFrame) -> tuple[float, list[Split], dict[str, float]]:
+    """Trees and cutoffs from the checked candidates of all texts.
 
-    Odd halves of the texts learn, even halves calibrate.
+    Odd halves of the texts, told apart by hash, learn; even halves calibrate.
     """
-    n = max(1, found.count())
     part = F.pmod(F.xxhash64("base", "checked"), F.lit(1_000_003))
-    picked = found.filter(part < int(min(1.0, sample_texts / n) * 1_000_003)).select((part % 2).alias("half"), F.explode("checked").alias("c"))
+    picked = found.select((part % 2).alias("half"), F.explode("checked").alias("c"))
     counted = picked.groupBy("half", "c.label", "c.x").agg(F.count(F.lit(1)).alias("n"))
     rows = counted.collect()  # bounded by the number of descriptions
     if not rows:
@@ -242,9 +240,7 @@ def learn(found: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> tuple[float, li
     return base, trees, cutoffs
 
 
-def find_personal_data(
-    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), sample_texts: int = SAMPLE_TEXTS, text_col: str = "text"
-) -> DataFrame:
+def find_personal_data(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """``keep``, ``base`` and ``spans``: arrays of (start, rank, end, kind, value), sorted.
 
     Base spans always stay; found candidates have the kind ``model`` and overlap no
@@ -252,7 +248,7 @@ def find_personal_data(
     columns are ignored. Without checked candidates to learn from nothing is added.
     """
     found = stored(propose(docs, keep, text_col), "pii-candidates")
-    base, trees, cutoffs = learn(found, sample_texts)
+    base, trees, cutoffs = learn(found)
     above = lambda s: F.coalesce(
         *[F.when(F.get(s["x"], F.lit(0)) == GENERATORS.index(k), tree_score(s["x"], base, trees) >= cut) for k, cut in cutoffs.items()],
         F.lit(False),

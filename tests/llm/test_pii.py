@@ -103,3 +103,16 @@ def test_bare_loose_numbers_are_not_learnt_as_failed_cards(docs_of):
     rows += [(1000 + i, f"reach {n(3)}-{n(3)}-{n(4)} today") for i in range(200)]
     found = {x["doc_id"]: [s["kind"] for s in x["spans"]] for x in p.find_personal_data(docs_of(rows)).collect()}
     assert all(found[i] == ["model"] for i in found if i >= 1000)
+
+
+def test_every_text_is_learnt_from(spark, monkeypatch):
+    x = F.array(F.lit(0), *[(F.col("id") % k).cast("int") for k in (2, 3, 2, 2, 2, 2, 2)])
+    checked = F.array(F.struct((F.col("id") % 3 == 0).cast("int").alias("label"), x.alias("x")))
+    found = spark.range(120_000).select(F.array("id").alias("base"), checked.alias("checked"))
+    held = []
+    boost, calibrate = p.boost, p.calibrate
+    monkeypatch.setattr(p, "boost", lambda x, label, weight: held.append(weight.sum()) or boost(x, label, weight))
+    monkeypatch.setattr(p, "calibrate", lambda score, label, weight: held.append(weight.sum()) or calibrate(score, label, weight))
+    p.learn(found)
+    # One half learns, the other, all of it e-mail here, calibrates.
+    assert sum(held) == 120_000
