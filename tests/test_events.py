@@ -202,3 +202,14 @@ def test_stage_meets_a_run_date_once(detail, make):
     sleeps = make([(1, "2021-05-03", f"2021-05-03 06:{m:02d}:00", "2021-05-03 09:30:00") for m in range(30)] * 2, SLEEPS)
     rows = events.stage_event_intervals(sleeps, detail, DS).collect()
     assert sorted(r.event for r in rows) == ["deep", "odd", "wake"]
+
+
+def test_flags_hold_counts_not_lists(hr, make):
+    sleeps = make([(1, "2021-05-03", "2021-05-03 06:30:00", "2021-05-03 07:30:00")] * 5, SLEEPS)
+    detail = make([(1, "2021-05-03 06:31:00", 600, s) for s in ("WAKE", "wake", "deep")] * 4, DETAIL)
+    rows = events.sleep_bpm_flags(hr([(1, "2021-05-03 06:32:00", 70)] * 3), sleeps, detail, DS)
+    got = {(r.sleep_stage, r.sleep_start_10mins): r["count"] for r in rows.groupBy("sleep_stage", "sleep_start_10mins").count().collect()}
+    # copies * stages in their sessions * starts
+    assert got == {("wake", 1): 3 * 8 * 5 * 5, ("deep", 1): 3 * 4 * 5 * 5}
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "_times" in plan
