@@ -253,3 +253,17 @@ def test_interval_moments_equal_pairs(spark):
         assert {r.i: (r.n, r.total, r.squares, r.least, r.greatest) for r in got.collect()} == want
     by_key = intervals.interval_moments(p, s, "k", "t", "v", "lo", "hi", ["k"], 60).collect()
     assert sum(r.n for r in by_key) == sum(w[0] for w in want.values()) and len(by_key) == 2
+
+
+def test_pairs_of_few_points_are_made_in_several_tasks(spark):
+    points = spark.range(200).selectExpr("id as point", "id % 2 * 0 as k", "timestamp_ntz'2024-01-01' + id * interval '7' minute as at")
+    spans = points.selectExpr("k", "point as span", "at as lo", "at + interval '3' hour as hi")
+    set_back = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = points_in_intervals(points, spans, "k", "at", "lo", "hi")
+        tasks = met.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", set_back)
+    assert len(tasks) > 1
+    assert sum(r["count"] for r in tasks) == sum(min(26, 200 - i) for i in range(200))
