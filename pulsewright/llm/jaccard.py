@@ -34,6 +34,9 @@ from pulsewright.llm.graph import connected_components
 BUCKET_BITS = 18
 SHARED_BITS = 25
 BINS = 32
+# Words hashed together, rows of an Arrow batch whose sets are held together, and words
+# whose hashes a task remembers.
+HELD_WORDS, HELD_ROWS, KNOWN_WORDS = 100_000, 1000, 200_000
 # Rounds of leaders before all pairs that are still open are compared.
 LEADER_ROUNDS = 4
 
@@ -57,7 +60,7 @@ def _distinct(grams: np.ndarray) -> np.ndarray:
 def shingle_sets(texts: Iterable[str | None], size: int, hashes: WordHashes) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text; with fewer words the whole sequence is one.
 
-    Texts are hashed together, some megabytes at a time.
+    Texts are hashed together, ``HELD_WORDS`` words at a time.
     """
     words: list[list[bytes]] = []
     held = 0
@@ -77,12 +80,18 @@ def shingle_sets(texts: Iterable[str | None], size: int, hashes: WordHashes) ->
     for text in texts:
         words.append(text.encode().lower().split() if text else [])
         held += len(words[-1])
-        if held >= 500_000:
+        if held >= HELD_WORDS:
             yield from sets()
             words, held = [], 0
     yield from sets()
 
 
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, HELD_ROWS):
+            yield batch.slice(at, HELD_ROWS)
+
+
 def _needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     """Shingles a set of n must share with any partner."""
     return -(-percent * n // 100)
@@ -93,8 +102,8 @@ def _signatures(docs: DataFrame, size: int) -> DataFrame:
     from xxhash import xxh3_64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), np.zeros(1 << BUCKET_BITS, np.int64)
-        for batch in batches:
+        hashes, counts = WordHashes(KNOWN_WORDS), np.zeros(1 << BUCKET_BITS, np.int64)
+        for batch in _slices(batches):
             n, sig, buckets = [], [], [np.empty(0, np.int64)]
             for grams in shingle_sets((t.as_py() for t in batch.column(1)), size, hashes):
                 buckets.append(grams & ((1 << BUCKET_BITS) - 1))
@@ -128,8 +137,8 @@ def _prefixes(docs: DataFrame, size: int, percent: int, frequency: np.ndarray) -
     sent = docs.sparkSession.sparkContext.broadcast(frequency)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, known = WordHashes(), set(), sent.value
-        for batch in batches:
+        hashes, seen, known = WordHashes(KNOWN_WORDS), set(), sent.value
+        for batch in _slices(batches):
             sigs, sizes, prefixes, bins = [], [], [], []
             for grams in shingle_sets((t.as_py() for t in batch.column(1)), size, hashes):
                 sig = xxh3_64_intdigest(grams.tobytes())
@@ -269,10 +278,11 @@ class _Sets:
         size, state = self.size, {}
 
         def sets(batch: pa.RecordBatch) -> Iterator[dict]:
-            hashes = state.setdefault("hashes", WordHashes())
-            grams = list(shingle_sets((t.as_py() for t in batch.column("text")), size, hashes))
-            names = np.asarray([xxh3_64_intdigest(g.tobytes()) for g in grams], np.uint64).view(np.int64)
-            yield {"sig": names, "grams": grams}
+            hashes = state.setdefault("hashes", WordHashes(KNOWN_WORDS))
+            for part in _slices([batch]):
+                grams = list(shingle_sets((t.as_py() for t in part.column("text")), size, hashes))
+                names = np.asarray([xxh3_64_intdigest(g.tobytes()) for g in grams], np.uint64).view(np.int64)
+                yield {"sig": names, "grams": grams}
 
         ids = stored(self.reps.join(sigs, "sig", "left_semi").select("rep").distinct(), "jaccard-wanted")
         texts = self.docs.join(small(ids, ids.count()), F.col("doc_id") == F.col("rep"), "left_semi")

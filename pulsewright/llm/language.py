@@ -120,10 +120,12 @@ class Bundler:
             grams, at = np.unique(gram, return_inverse=True)
         letter = self._letters(alphabet)
         twice, once = np.roll(letter, 2, axis=1), np.roll(letter, 1, axis=1)
-        block = 4096
+        block = 2048
         for first in range(0, len(grams), block):
             g = grams[first : first + block]
-            bound = twice[g // (n * n)] * once[g // n % n] * letter[g % n]
+            bound = twice[g // (n * n)]
+            bound *= once[g // n % n]
+            bound *= letter[g % n]
             mine = (at >= first) & (at < first + len(g)) if len(grams) > block else slice(None)
             counts = np.bincount(who[mine] * len(g) + at[mine] - first, minlength=rows * len(g)).reshape(rows, len(g))
             total += counts.astype(np.float32) @ bound
@@ -199,12 +201,13 @@ def identify(
     matrix = np.stack([prototypes[n] for n in names]) if names else np.zeros((0, dimensions))
     sent = docs.sparkSession.sparkContext.broadcast(matrix)
     kept = [f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
+    text = "text" if "text" in keep else "_text"
     state: dict = {}
 
     def predict(batch: pa.RecordBatch) -> Iterator[dict]:
         if not state:
             state["bundler"] = Bundler(dimensions, seed)
-        texts = [t.as_py() for t in batch.column("_text")]
+        texts = [t.as_py() for t in batch.column(text)]
         lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         for group in _groups(texts):
             pairs = [(i - group.start, texts[i]) for i in group if texts[i]]
@@ -216,7 +219,8 @@ def identify(
                 lang[group.start + i], score[group.start + i] = names[best], min(1.0, max(0.0, float(cosine[i, best])))
         yield {c: batch.column(c) for c in keep} | {"lang_pred": lang, "score": score}
 
-    rows = docs.select(*keep, F.col("text").alias("_text"))
+    # A text that is kept travels once.
+    rows = docs.select(*keep) if text == "text" else docs.select(*keep, F.col("text").alias(text))
     return over_arrow(rows, predict, ", ".join([*kept, "lang_pred string, score double"]))
 
 

@@ -78,3 +78,15 @@ def test_bitmap(spark):
     made = j.bitmap_of(spark.createDataFrame([(int(v),) for v in values], "v long"), "v", bits=16)
     assert j.in_bitmap(made, values).all()
     assert sum(bin(int(w)).count("1") for w in made) == len({int(v) & 0xFFFF for v in values})
+
+
+def test_few_words_are_held_together():
+    known, held = j.WordHashes(), []
+
+    def hashes(words):
+        held.append(len(words))
+        return known(words)
+
+    texts = [" ".join(f"w{i}" for i in range(at, at + 1000)) for at in range(600)]
+    sets = list(j.shingle_sets(texts, 4, hashes))
+    assert [len(s) for s in sets] == [997] * 600 and max(held) <= 101_000 and sum(held) == 600_000

@@ -92,3 +92,11 @@ def test_a_text_beyond_one_piece_against_brute_force():
     want = sum(n * np.roll(vector(a), 2) * np.roll(vector(b), 1) * vector(c) for (a, b, c), n in counted.items())
     total, letters = h.Bundler(32, 7).bundle([(0, body)], 1)
     assert (total[0] == want).all() and letters[0] == len(body) > h.PIECE
+
+
+def test_a_kept_text_travels_once(spark, capsys):
+    docs = spark.createDataFrame([(1, "the cat sat"), (2, None)], "doc_id long, text string")
+    judged = h.identify(docs, {"en": np.ones(1024)}, keep=("doc_id", "text"))
+    judged.explain()
+    assert "_text" not in capsys.readouterr().out
+    assert judged.columns == ["doc_id", "text", "lang_pred", "score"] and judged.filter("text is null").count() == 1
