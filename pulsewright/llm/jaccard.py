@@ -5,11 +5,12 @@
    whole corpus once per shingle, so frequencies are counted over all documents in a
    fixed number of hash buckets; any fixed order keeps the join exact.
 3. Two sets that reach the threshold share a shingle among the first n - ceil(t n) + 1
-   of both. Prefix shingles held by one class alone are dropped (a bitmap of fixed
-   size; a false hit costs a row and nothing else).
+   of both. The rows of a shingle meet in one shuffle, where those held by one class
+   alone are dropped.
 4. Candidates pass the length filter, the positional filter (what can still match
    after this place), and the suffix filter (partition sizes of both sets bound their
-   difference), are made distinct and verified once on whole sets.
+   difference), are made distinct and verified once on whole sets. Only sets in a pair
+   are moved.
 5. A group of m near copies would give m * m / 2 pairs. Classes are first compared
    with two leaders of each prefix shingle, some rounds with other leaders each time;
    then all pairs of a shingle that are still in different components are compared.
@@ -20,12 +21,12 @@ Shingles are 64-bit hashes, as is the name of a class.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsewright.llm.common import GOLDEN, WordHashes, mixed, over_arrow, small, stored, table
@@ -33,7 +34,7 @@ from pulsewright.llm.graph import connected_components
 
 BUCKET_BITS = 18
 SHARED_BITS = 25
-BINS = 32
+BINS, FINE_BINS = 32, 512
 # Words hashed together, rows of an Arrow batch whose sets are held together, and words
 # whose hashes a task remembers.
 HELD_WORDS, HELD_ROWS, KNOWN_WORDS = 100_000, 1000, 200_000
@@ -181,89 +182,89 @@ def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
 
-def _postings(classes: DataFrame) -> DataFrame:
-    """(token, sig, n, pos) of prefix shingles that more than one class holds, and a few others."""
-    tokens = classes.select(F.explode("prefix").alias("token"), "sig")
-    shared = tokens.groupBy("token").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).filter("lo <> hi")
-    sent = classes.sparkSession.sparkContext.broadcast(bitmap_of(shared, "token"))
-
-    def pick(batch: pa.RecordBatch) -> Iterator[dict]:
-        lists = batch.column("prefix")
-        flat = lists.flatten().to_numpy()
-        count = np.diff(lists.offsets.to_numpy())
-        row = np.repeat(np.arange(len(count)), count)
-        pos = np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count)
-        hit = in_bitmap(sent.value, flat)
-        yield {
-            "token": flat[hit],
-            "sig": batch.column("sig").to_numpy()[row[hit]],
-            "n": batch.column("n").to_numpy()[row[hit]],
-            "pos": pos[hit],
-        }
-
-    return over_arrow(classes.select("sig", "n", "prefix"), pick, "token long, sig long, n long, pos long")
-
-
-def _may_match(percent: int) -> Column:
-    """Length and positional filters on a pair (n, pos) and (n2, pos2)."""
-    n, m = F.col("n"), F.col("n2")
+def _may_match(percent: int, one: Callable[[str], Column], two: Callable[[str], Column]) -> Column:
+    """Length and positional filters on two rows of (n, pos)."""
+    n, m = one("n"), two("n")
     length = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    rest = F.least(n - F.col("pos"), m - F.col("pos2"))
+    rest = F.least(n - one("pos"), m - two("pos"))
     return length & ((100 + percent) * rest >= percent * (n + m))
 
 
-def _pairs(found: DataFrame) -> DataFrame:
-    return found.select(F.least("sig", "sig2").alias("a"), F.greatest("sig", "sig2").alias("b")).filter("a <> b").distinct()
+def _leaders(seed: int, percent: int, other: str = "sig") -> Column:
+    """Names of a token's two leaders, those with the smallest and largest scrambled name, that a row may match.
 
+    Scrambling does not depend on the token: a group of near copies has the same
+    leaders for all tokens it shares, which gives few pairs per class. A leader that
+    is equal in column ``other`` is left out.
+    """
+    key, row = F.xxhash64("sig", F.lit(seed)), F.struct(*dict.fromkeys(("sig", "n", "pos", other)))
+    of_token = Window.partitionBy("token")
+    both = F.array(F.min_by(row, key).over(of_token), F.max_by(row, key).over(of_token))
+    fits = F.filter(both, lambda l: (l.getField(other) != F.col(other)) & _may_match(percent, F.col, l.getField))
+    return F.transform(fits, lambda l: l.getField("sig"))
 
-def _leaders(postings: DataFrame, seed: int) -> DataFrame:
-    """Per token two leaders, those with the smallest and largest scrambled name, and its number of classes.
 
-    Scrambling does not depend on the token: a group of near copies has the same
-    leaders for all tokens it shares, which gives few pairs per class.
+def _postings(classes: DataFrame, percent: int) -> DataFrame:
+    """(token, sig, n, pos, classes, met) of prefix shingles that more than one class holds.
+
+    One shuffle brings the rows of a shingle together: copies of a class fold, its number
+    of classes is counted and the leaders are found where it lies.
     """
-    key, row = F.xxhash64("sig", F.lit(seed)), F.struct(*[c for c in postings.columns if c != "token"])
-    leaders = postings.groupBy("token").agg(
-        F.min_by(row, key).alias("lo"), F.max_by(row, key).alias("hi"), F.count(F.lit(1)).alias("classes")
-    )
-    return leaders.filter("classes > 1").withColumnRenamed("token", "token2")
+    each = classes.select("sig", "n", F.posexplode("prefix").alias("pos", "token"))
+    # A class met in several tasks: equal rows.
+    rows = each.repartition("token").distinct()
+    held = rows.withColumn("classes", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("classes > 1")
+    return held.withColumn("met", _leaders(0, percent))
 
 
-def _leader_pairs(postings: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
+def _pairs(sig: Column, other: Column, rows: DataFrame) -> DataFrame:
+    return rows.select(F.least(sig, other).alias("a"), F.greatest(sig, other).alias("b")).filter("a <> b").distinct()
+
+
+def _leader_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of every class with the leaders of each of its prefix shingles."""
-    met = postings.join(leaders, F.col("token") == F.col("token2"))
-    columns = [c for c in postings.columns if c != "token"]
-    each = met.select(*columns, F.explode(F.array("lo", "hi")).alias("l"))
-    each = each.select(*columns, *[F.col(f"l.{c}").alias(f"{c}2") for c in columns])
-    if "c" in columns:
-        each = each.filter("c <> c2")
-    return _pairs(each.filter(_may_match(percent)))
-
-
-def _still_open(postings: DataFrame, components: DataFrame) -> DataFrame:
-    """Postings, with components ``c``, of shingles whose classes lie in several components."""
-    named = postings.join(components, F.col("sig") == F.col("node"), "left").select(
+    return _pairs(F.col("sig"), F.col("sig2"), rows.select("sig", F.explode("met").alias("sig2")))
+
+
+def _still_open(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """Rows, with components ``c``, of shingles whose classes lie in several components; a shingle's rows lie together."""
+    named = rows.join(small(components, components.count()), F.col("sig") == F.col("node"), "left").select(
         "token", "sig", "n", "pos", F.coalesce("component", "sig").alias("c")
     )
-    open_tokens = named.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("token")
-    return stored(named.join(open_tokens, "token", "left_semi"), "jaccard-open")
+    of_token = Window.partitionBy("token")
+    spread = named.repartition("token").withColumns({"_lo": F.min("c").over(of_token), "_hi": F.max("c").over(of_token)})
+    return spread.filter("_lo <> _hi").drop("_lo", "_hi")
+
 
+def _apart(one: Column | str, two: Column | str) -> Column:
+    """How many shingles two sets differ in at least, by the sizes of their hash partitions."""
+    return F.aggregate(F.zip_with(one, two, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
 
-def _open_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs on a shared prefix shingle whose classes lie in different components."""
-    other = rows.select(*[F.col(c).alias(f"{c}2") for c in rows.columns])
-    met = rows.join(other, (F.col("token") == F.col("token2")) & (F.col("c") < F.col("c2")) & _may_match(percent))
-    return _pairs(met)
+
+def _close(percent: int, n: Column, m: Column, apart: Column) -> Column:
+    # |A symmetric-difference B| = |A| + |B| - 2 |A and B|
+    return (100 + percent) * (n + m - apart) >= 2 * percent * (n + m)
+
+
+def _open_meetings(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(sig, sig2) of all classes on a shared prefix shingle that lie in different components and pass every filter.
+
+    Partition sizes are compared where two rows meet: near copies just below the
+    threshold share most shingles, and few of their pairs are ever listed.
+    """
+    rows = stored(rows.join(sizes.select("sig", "bins"), "sig"), "jaccard-open-bins")
+    # Named by side and not by column, so that both sides read one shuffle.
+    one, two = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    close = _close(percent, one("n"), two("n"), _apart(one("bins"), two("bins")))
+    on = (one("token") == two("token")) & (one("c") < two("c")) & _may_match(percent, one, two) & close
+    return rows.alias("x").join(rows.alias("y"), on).select(one("sig").alias("sig"), two("sig").alias("sig2"))
 
 
-def _suffix_filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _suffix_filtered(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Drop pairs whose sets differ too much by the sizes of their hash partitions."""
-    side = lambda s: classes.select(F.col("sig").alias(s), F.col("n").alias(f"n_{s}"), F.col("bins").alias(f"bins_{s}"))
+    side = lambda s: sizes.select(F.col("sig").alias(s), F.col("n").alias(f"n_{s}"), F.col("bins").alias(f"bins_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    apart = F.aggregate(F.zip_with("bins_a", "bins_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    whole = F.col("n_a") + F.col("n_b")
-    # |A symmetric-difference B| = |A| + |B| - 2 |A and B|
-    return both.filter((100 + percent) * (whole - apart) >= 2 * percent * whole).select("a", "b", "n_a", "n_b")
+    return both.filter(_close(percent, F.col("n_a"), F.col("n_b"), _apart("bins_a", "bins_b"))).select("a", "b", "n_a", "n_b")
 
 
 class _Sets:
@@ -276,20 +277,32 @@ class _Sets:
         from xxhash import xxh3_64_intdigest
 
         size, state = self.size, {}
+        # A count cut off can only bring two sets closer.
+        fine = lambda g: np.minimum(np.bincount((g >> 24) & (FINE_BINS - 1), minlength=FINE_BINS), 127).astype(np.int8)
 
         def sets(batch: pa.RecordBatch) -> Iterator[dict]:
             hashes = state.setdefault("hashes", WordHashes(KNOWN_WORDS))
             for part in _slices([batch]):
                 grams = list(shingle_sets((t.as_py() for t in part.column("text")), size, hashes))
                 names = np.asarray([xxh3_64_intdigest(g.tobytes()) for g in grams], np.uint64).view(np.int64)
-                yield {"sig": names, "grams": grams}
+                yield {"sig": names, "grams": grams, "fine": [fine(g) for g in grams]}
 
         ids = stored(self.reps.join(sigs, "sig", "left_semi").select("rep").distinct(), "jaccard-wanted")
         texts = self.docs.join(small(ids, ids.count()), F.col("doc_id") == F.col("rep"), "left_semi")
-        return stored(over_arrow(texts, sets, "sig long, grams array<long>"), "jaccard-sets")
+        return stored(over_arrow(texts, sets, "sig long, grams array<long>, fine array<tinyint>"), "jaccard-sets")
+
+    def _met(self, pairs: DataFrame, col: str) -> DataFrame:
+        """Pairs with a column of both sets.
+
+        Where pairs are few, they go to the sets: only sets in a pair move, and only to the other side.
+        """
+        few = pairs.count()
+        side = lambda s: self.have.select(F.col("sig").alias(s), F.col(col).alias(f"{col}_{s}"))
+        partners = side("b").join(small(pairs.select("b").distinct(), few), "b", "left_semi")
+        return side("a").join(small(pairs, few), "a").join(partners, "b")
 
     def verified(self, pairs: DataFrame, percent: int) -> DataFrame:
-        """The pairs that reach the threshold on whole sets."""
+        """The pairs that reach the threshold on whole sets; finer partition sizes spare whole sets that are far apart."""
         sigs = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
         if self.have is None:
             self.have = self._fetch(sigs)
@@ -297,8 +310,9 @@ class _Sets:
             missing = stored(sigs.join(self.have, "sig", "left_anti"), "jaccard-missing")
             if not missing.isEmpty():
                 self.have = self.have.unionByName(self._fetch(missing))
-        side = lambda s: self.have.select(F.col("sig").alias(s), F.col("grams").alias(f"grams_{s}"))
-        met = pairs.join(side("a"), "a").join(side("b"), "b")
+        near = _close(percent, F.col("n_a"), F.col("n_b"), _apart("fine_a", "fine_b"))
+        left = self._met(pairs, "fine").filter(near).select("a", "b", "n_a", "n_b").distinct()
+        met = self._met(stored(left, "jaccard-near"), "grams")
         common = F.size(F.array_intersect("grams_a", "grams_b"))
         return met.filter((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b").distinct()
 
@@ -327,22 +341,22 @@ def jaccard_components(
 
     named = rows.filter("doc_id is not null").select("doc_id", "text")
     classes = stored(_prefixes(named, shingle, percent, frequency), "jaccard-prefixes")
-    # A class met in several tasks: equal rows.
-    postings = stored(_postings(classes).distinct(), "jaccard-postings")
+    postings = stored(_postings(classes, percent), "jaccard-postings")
     sizes = classes.groupBy("sig").agg(F.first("n").alias("n"), F.first("bins").alias("bins"))
 
     sets = _Sets(named, reps, shingle)
-    leaders = stored(_leaders(postings, 0), "jaccard-leaders")
-    tested = stored(_suffix_filtered(_leader_pairs(postings, leaders, percent), sizes, percent), "jaccard-pairs")
+    tested = stored(_suffix_filtered(_leader_pairs(postings), sizes, percent), "jaccard-pairs")
     links = stored(sets.verified(tested, percent), "jaccard-links")
     components = stored(connected_components(links), "jaccard-components")
     # Two or three classes are all compared by now.
-    wide = leaders.filter("classes > 3").select(F.col("token2").alias("token"))
-    rows = postings.join(wide, "token", "left_semi")
+    rows = postings.filter("classes > 3")
     for seed in range(1, LEADER_ROUNDS + 1):
-        rows = _still_open(rows.select("token", "sig", "n", "pos"), components)
-        last = seed == LEADER_ROUNDS
-        pairs = _open_pairs(rows, percent) if last else _leader_pairs(rows, _leaders(rows, seed), percent)
+        rows = _still_open(rows, components)
+        if seed < LEADER_ROUNDS:
+            rows = stored(rows.withColumn("met", _leaders(seed, percent, "c")), "jaccard-open")
+            pairs = _leader_pairs(rows)
+        else:
+            pairs = _pairs(F.col("sig"), F.col("sig2"), _open_meetings(rows, sizes, percent))
         fresh = pairs.join(tested, ["a", "b"], "left_anti")
         fresh = stored(_suffix_filtered(fresh, sizes, percent), "jaccard-pairs")
         if fresh.isEmpty():

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pulsewright.llm import jaccard as j
 from texts import vocabulary, words
@@ -90,3 +91,47 @@ def test_few_words_are_held_together():
     texts = [" ".join(f"w{i}" for i in range(at, at + 1000)) for at in range(600)]
     sets = list(j.shingle_sets(texts, 4, hashes))
     assert [len(s) for s in sets] == [997] * 600 and max(held) <= 101_000 and sum(held) == 600_000
+
+
+def below_threshold(pool):
+    """Texts of one long passage with words of their own in the middle: all share it, none links (4 words, 85 percent)."""
+    passage = words(120, 77, pool)
+    return [" ".join([*passage[:60], *(f"own{i}x{k}" for k in range(5)), *passage[60:]]) for i in range(40)]
+
+
+def test_open_pairs_are_few_in_a_group_below_the_threshold(spark, docs_of, rows_of, monkeypatch):
+    """Only pairs that pass the partition sizes leave the join; all pairs of the group would be 780."""
+    texts = below_threshold(vocabulary(300))
+    docs = list(enumerate([*texts, texts[0].replace("own0x0", "other")]))
+    made, pairs = [], j._open_meetings
+    monkeypatch.setattr(j, "_open_meetings", lambda *a: made.append(pairs(*a).count()) or pairs(*a))
+    got = rows_of(j.jaccard_components(docs_of(docs), 4, 85))
+    assert sorted(got) == sorted(brute(docs, 4, 85))
+    assert made and made[0] < len(docs) * (len(docs) - 1) // 2
+
+
+def test_rows_of_a_shingle_meet_once(spark):
+    """Copies of a class from several tasks fold, shingles of one class go, and leaders are found in the same shuffle."""
+    rows = [(1, 10, [7, 8]), (1, 10, [7, 8]), (2, 10, [7, 9]), (3, 100, [7])]
+    classes = spark.createDataFrame([(*r, [0]) for r in rows], "sig long, n long, prefix array<long>, bins array<int>").repartition(3)
+    found = j._postings(classes, 85)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = {(r["token"], r["sig"], r["pos"], r["classes"]): set(r["met"]) for r in found.collect()}
+    # The third is too long to match the others.
+    assert set(got) == {(7, 1, 0, 3), (7, 2, 0, 3), (7, 3, 0, 3)}
+    assert got[(7, 3, 0, 3)] == set() and got[(7, 1, 0, 3)] <= {2} and got[(7, 2, 0, 3)] <= {1}
+
+
+def test_only_sets_in_a_pair_move(spark, docs_of):
+    """Pairs far apart by their finer partition sizes are gone before whole sets meet."""
+    pool = vocabulary(300)
+    near, far = family(5, 90, 1, 1, pool), [" ".join(words(90, 900 + i, pool)) for i in range(2)]
+    docs = docs_of(list(enumerate([*near, *far]))).select("doc_id", "text")
+    signed = j._signatures(docs, 4).filter("bucket is null").select("doc_id", "n", "sig")
+    n, sig = ({r["doc_id"]: r[c] for r in signed.collect()} for c in ("n", "sig"))
+    sets = j._Sets(docs, signed.select("sig", F.col("doc_id").alias("rep")), 4)
+    pairs = spark.createDataFrame([(sig[a], sig[b], n[a], n[b]) for a, b in ((0, 1), (2, 3))], "a long, b long, n_a long, n_b long")
+    moved, met = [], sets._met
+    sets._met = lambda left, col: moved.append((col, left.count())) or met(left, col)
+    assert [tuple(r) for r in sets.verified(pairs, 80).collect()] == [(sig[0], sig[1])]
+    assert moved == [("fine", 2), ("grams", 1)]
