@@ -267,3 +267,14 @@ def test_pairs_of_few_points_are_made_in_several_tasks(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", set_back)
     assert len(tasks) > 1
     assert sum(r["count"] for r in tasks) == sum(min(26, 200 - i) for i in range(200))
+
+
+def test_folded_intervals_meet_a_point_once_and_take_no_shuffle_of_their_own(make):
+    points = make([(1, "2021-05-03 06:00:00"), (1, "2021-05-03 08:30:00"), (1, "2021-05-03 08:30:01"), (2, "2021-05-03 06:00:00")], "k bigint,at timestamp_ntz")
+    rows = [(1, d, f"2021-05-03 0{h}:{m:02d}:00", "2021-05-03 08:30:00") for d in ("x", "y") for h in (5, 6) for m in (0, 20, 40)]
+    rows += [(1, "x", "2021-05-03 06:00:00", "2021-05-03 06:00:00"), (1, "y", "2021-05-03 09:00:00", "2021-05-03 07:00:00"), (None, "x", "2021-05-03 05:00:00", "2021-05-03 09:00:00")]
+    spans = make(rows, "k bigint,d string,lo timestamp_ntz,hi timestamp_ntz")
+    joined = points_in_intervals(points, spans, "k", "at", "lo", "hi", bucket_seconds=3600, fold=["d"])
+    got = sorted((str(r["at"])[11:], r["d"]) for r in joined.collect())
+    assert got == [("06:00:00", "x"), ("06:00:00", "y"), ("08:30:00", "x"), ("08:30:00", "y")]
+    assert set(joined.columns) == {"k", "at", "_bucket", "_salt", "d"}
